@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from contrail.operators.lookups import HotKeys, lookup
 from contrail.operators.ordered import running_totals, unpivot
+from contrail.session import materialize
 
 
 def corr_with(df: DataFrame, cols: Sequence[str], y: str, min_non_null: int = 0) -> DataFrame:
@@ -44,7 +45,8 @@ def spearman(
     cols = list(dict.fromkeys([*xs, *ys]))
     kept = df.dropna(subset=list(complete or xs)).select(*[F.col(c).cast("double").alias(c) for c in cols])
     kept = kept.dropna(subset=list(cols)).groupBy(*cols).agg(F.count("*").alias("_w"))
-    ranks = average_ranks(kept, cols, "_w")
+    kept = materialize(kept, "rows")  # read once per column below
+    ranks = materialize(average_ranks(kept, cols, "_w"), "ranks")
     common = ranks.where(F.col("n") >= F.lit(share) * F.col("all_n")).select("column", "value").collect()
     salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     ranked = kept

@@ -139,18 +139,20 @@ def quantile_row(df: DataFrame, cols: Sequence[str], p: float = 0.5) -> DataFram
     return found.agg(*[F.max(F.when(F.col("column") == c, F.col("q"))).alias(c) for c in cols])
 
 
-def keep_n(
+def cut_by_hash(
     df: DataFrame,
-    n: int | Callable[[Column], Column],
+    limits: Sequence[Callable[[Column], Column]],
     keys: Sequence[str],
     by: Sequence[str] = (),
     seed: int = 42,
+    out: str = "part",
 ) -> DataFrame:
-    """A random but repeatable subset of exactly ``n`` rows per group (all rows of smaller groups).
+    """Cut each group into parts of exact size, in the order of a seeded hash of ``keys``.
 
-    Rows are taken in the order of a seeded hash of ``keys``, which must identify a row. ``n`` may be a
-    function of the group's row count. Only the hash block in which the cut falls (about one row in 65,536)
-    is ever sorted; the rest of the group is kept or left by comparing block numbers.
+    ``limits`` are ascending functions of the group's row count: part 0 holds the first ``limits[0]`` rows,
+    part 1 those up to ``limits[1]``, and so on; the last part holds the rest. ``keys`` must identify a row.
+    Only the hash blocks in which a cut falls (about one row in 65,536 each) are ever sorted; every other row
+    learns its part by comparing block numbers.
     """
     by = list(by)
     group = by or ["_all"]
@@ -162,23 +164,44 @@ def keep_n(
     counts = counts.select(
         *group,
         "_block",
+        "_c",
         F.sum("_c").over(w.orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
         F.sum("_c").over(w).alias("_total"),
-        "_c",
     )
-    limit = n(F.col("_total")) if callable(n) else F.lit(n)
-    cut = (
-        counts.withColumn("_limit", limit.cast("long"))
+    wanted = F.array(*[limit(F.col("_total")).cast("long") for limit in limits])
+    room = F.col("_limit") - F.col("_upto") + F.col("_c")
+    cuts = (
+        counts.select("*", F.posexplode(wanted).alias("_i", "_limit"))
         .where("_upto > _limit")
+        .groupBy(*group, "_i")
+        .agg(F.min(F.struct("_block", room.alias("_room"))).alias("_cut"))
         .groupBy(*group)
-        .agg(F.min(F.struct("_block", (F.col("_limit") - F.col("_upto") + F.col("_c")).alias("_room"))).alias("_cut"))
+        .agg(F.collect_list("_cut").alias("_cuts"))  # one entry per limit
     )
     if by:
-        marked = rows.join(cut, by, "left")
+        marked = rows.join(cuts, by, "left")
     else:
-        marked = rows.withColumn("_cut", cut.select("_cut").scalar())
-    whole = marked.where(F.col("_cut").isNull() | (F.col("_block") < F.col("_cut._block")))
-    edge = marked.where(F.col("_block") == F.col("_cut._block"))
+        marked = rows.withColumn("_cuts", cuts.select("_cuts").scalar())
+    has_cut = F.col("_cuts").isNotNull()
+    on_cut = has_cut & F.exists("_cuts", lambda x: x["_block"] == F.col("_block"))
+
+    def part(after: Callable[[Column], Column]) -> Column:
+        return F.when(has_cut, F.size(F.filter("_cuts", after))).otherwise(0)
+
+    plain = marked.where(~on_cut).withColumn(out, part(lambda x: F.col("_block") > x["_block"]))
     order = Window.partitionBy(*group, "_block").orderBy("_hash", *keys)
-    edge = edge.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= F.col("_cut._room"))
-    return whole.select(*df.columns).unionByName(edge.select(*df.columns))
+    edge = marked.where(on_cut).withColumn("_rank", F.row_number().over(order))
+    edge = edge.withColumn(
+        out,
+        part(
+            lambda x: (F.col("_block") > x["_block"])
+            | ((F.col("_block") == x["_block"]) & (F.col("_rank") > x["_room"]))
+        ),
+    )
+    return plain.select(*df.columns, out).unionByName(edge.select(*df.columns, out))
+
+
+def keep_n(df: DataFrame, n: int, keys: Sequence[str], by: Sequence[str] = (), seed: int = 42) -> DataFrame:
+    """A random but repeatable subset of exactly ``n`` rows per group; smaller groups are kept whole."""
+    cut = cut_by_hash(df, [lambda total: F.lit(n)], keys, by, seed, out="_part")
+    return cut.where("_part = 0").select(*df.columns)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.operators.ordered import keep_n
+from contrail.operators.ordered import cut_by_hash, keep_n
 from contrail.session import materialize
 
 CHUNK = 2048  # points per neighbour-search group
@@ -31,20 +31,10 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``part``: each class is cut at the rounded cumulative fractions of its size, in seeded random order."""
     names = list(fracs)
-    bounds = np.cumsum([fracs[n] for n in names])
-    rest, out = df, None
-    for i, name in enumerate(names):
-        if i == len(names) - 1:
-            part = rest
-        else:
-            share = float(bounds[i])
-            upto = keep_n(df, lambda total: F.round(total * share), keys, by=[label], seed=seed)
-            part = upto if i == 0 else upto.join(done, list(keys), "left_anti")
-            done = upto.select(*keys)
-            rest = df.join(done, list(keys), "left_anti")
-        part = part.withColumn("part", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return out
+    bounds = [float(b) for b in np.cumsum([fracs[n] for n in names])[:-1]]
+    limits = [lambda total, b=b: F.round(total * b) for b in bounds]
+    cut = cut_by_hash(df, limits, keys, [label], seed, out="_part")
+    return cut.withColumn("part", F.array(*[F.lit(n) for n in names])[F.col("_part")]).drop("_part")
 
 
 def sample_multistage(

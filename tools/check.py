@@ -35,7 +35,7 @@ def main(argv):
     names = argv[1:] or list(QUERIES)
     names = [q for q in QUERIES if any(q == n or q.startswith(n + "_") for n in names)] if argv[1:] else names
     spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-                                                 "spark.driver.memory": "16g"})
+                                                 "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     bad = 0
