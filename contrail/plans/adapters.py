@@ -1,6 +1,7 @@
 """Views that give the driver's tables the shapes of the flight tables.
 
-The texts run unchanged in Spark and in DuckDB. ``with_views`` turns the ones a query needs into CTEs.
+The texts run unchanged in Spark and in DuckDB. ``with_views`` turns the ones a query needs into CTEs. The scores
+of ``scored`` are computed in doubles throughout, because decimal literals give the two engines different ties.
 """
 
 from __future__ import annotations
@@ -65,8 +66,8 @@ FROM part JOIN supplier ON s_suppkey % 50 + 1 = p_size
 """,
     "scored": """
 SELECT flight_id, CASE WHEN Cancelled THEN 2 WHEN coalesce(DepDelay >= 15, FALSE) THEN 1 ELSE 0 END AS target,
-       CAST(((flight_id * 7919) % 1000) / 2000.0 + CASE WHEN Cancelled THEN 0.3 ELSE 0.0 END AS DOUBLE) AS prob_cancel,
-       CAST(((flight_id * 104729) % 1000) / 1500.0 + CASE WHEN coalesce(DepDelay >= 15, FALSE) THEN 0.2 ELSE 0.0 END AS DOUBLE) AS prob_delay
+       CAST((flight_id * 7919) % 1000 AS DOUBLE) / CAST(2000 AS DOUBLE) + CAST(CASE WHEN Cancelled THEN 0.3 ELSE 0.0 END AS DOUBLE) AS prob_cancel,
+       CAST((flight_id * 104729) % 1000 AS DOUBLE) / CAST(1500 AS DOUBLE) + CAST(CASE WHEN coalesce(DepDelay >= 15, FALSE) THEN 0.2 ELSE 0.0 END AS DOUBLE) AS prob_delay
 FROM flights
 """,
 }
