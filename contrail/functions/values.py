@@ -34,7 +34,7 @@ def bin_right_closed(
 def bin_equal_width(c: Column | str, low: Column, high: Column, bins: int) -> Column:
     """0-based index of ``bins`` equal intervals over [low, high], closed on the right, the first closed below."""
     value = col(c)
-    place = F.ceil((value - low) / ((high - low) / bins)).cast("int") - 1
+    place = F.coalesce(F.ceil(F.try_divide(value - low, (high - low) / bins)).cast("int"), F.lit(1)) - 1
     return F.when(value.between(low, high), F.greatest(F.lit(0), F.least(F.lit(bins - 1), place)))
 
 

@@ -62,7 +62,7 @@ def spearman(
         return F.sum(w * F.col(f"_r_{a}") * F.col(f"_r_{b}")) / F.sum(w) - mean[a] * mean[b]
 
     one = ranked.agg(*[
-        (moment(x, y) / F.sqrt(moment(x, x) * moment(y, y))).alias(f"p{i}") for i, (x, y) in enumerate(pairs)
+        F.try_divide(moment(x, y), F.sqrt(moment(x, x) * moment(y, y))).alias(f"p{i}") for i, (x, y) in enumerate(pairs)
     ])
     cells = F.array(*[
         F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"p{i}").alias("rho"))
@@ -81,7 +81,7 @@ def anova_f(df: DataFrame, xs: Sequence[str], y: str) -> DataFrame:
     grand = F.sum(F.col("n") * F.col("m")) / n
     between = F.sum(F.col("n") * F.col("m") * F.col("m")) - n * grand * grand
     within = F.sum(F.col("n") * F.col("v"))
-    return groups.groupBy("column").agg(((between / (k - 1)) / (within / (n - k))).alias("f"))
+    return groups.groupBy("column").agg(F.try_divide(F.try_divide(between, k - 1), F.try_divide(within, n - k)).alias("f"))
 
 
 def cramers_v(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
@@ -109,9 +109,9 @@ def cramers_v(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
     gap = F.abs(F.col("any.o") - F.col("any.r") * F.col("any.c") / n)
     corrected = F.when(gap > 0, plain * F.pow((gap - F.least(F.lit(0.5), gap)) / gap, 2)).otherwise(0.0)
     chi2 = F.when((r == 2) & (k == 2), corrected).otherwise(plain)
-    phi = F.greatest(F.lit(0.0), chi2 / n - (k - 1) * (r - 1) / (n - 1))
-    rows_adj, cols_adj = r - (r - 1) * (r - 1) / (n - 1), k - (k - 1) * (k - 1) / (n - 1)
-    v = F.sqrt(phi / F.nullif(F.least(rows_adj - 1, cols_adj - 1), F.lit(0.0)))
+    phi = F.greatest(F.lit(0.0), chi2 / n - F.try_divide((k - 1) * (r - 1), n - 1))
+    rows_adj, cols_adj = r - F.try_divide((r - 1) * (r - 1), n - 1), k - F.try_divide((k - 1) * (k - 1), n - 1)
+    v = F.sqrt(F.try_divide(phi, F.least(rows_adj - 1, cols_adj - 1)))
     return chi.join(sizes, "column").select("column", v.alias("v"))
 
 

@@ -187,7 +187,7 @@ def histogram(df: DataFrame, c: str, bins: int, low: float | None = None, high:
     width = (hi - lo) / bins
     inside = kept.where(F.col(c).between(lo, hi))
     counts = inside.groupBy(
-        F.least(F.lit(bins - 1), F.floor((F.col(c) - lo) / width).cast("int")).alias("bin")
+        F.least(F.lit(bins - 1), F.coalesce(F.floor(F.try_divide(F.col(c) - lo, width)).cast("int"), F.lit(0))).alias("bin")
     ).agg(F.count("*").alias("n"))
     grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return grid.join(counts, "bin", "left").select(
@@ -215,7 +215,7 @@ def delay_vs_visibility(df: DataFrame) -> DataFrame:
     """Delay rate and visibility, scaled to its own maximum, by departure hour."""
     hours = df.groupBy("dep_hour").agg(F.avg("is_delayed").alias("delay_rate"), F.avg("vsby").alias("_v"))
     top = hours.agg(F.max("_v")).scalar()
-    return hours.select("dep_hour", "delay_rate", (F.col("_v") / top).alias("visibility"))
+    return hours.select("dep_hour", "delay_rate", F.try_divide("_v", top).alias("visibility"))
 
 
 def split_summary(df: DataFrame, keys: Sequence[str] = ("split",), day: str = "FlightDate") -> DataFrame:
@@ -276,7 +276,7 @@ def acf(series: DataFrame, value: str, order: str, nlags: int = 30) -> DataFrame
     ahead = ahead.select("lag", "x0", (F.col("i") + F.col("lag")).alias("i"))
     pairs = ahead.join(steps, "i").groupBy("lag").agg(F.sum(F.col("x0") * F.col("x")).alias("c"))
     return pairs.select(
-        "lag", (F.col("c") / total["ss"]).alias("acf"), (F.lit(1.96) / F.sqrt(total["n"])).alias("bound")
+        "lag", F.try_divide("c", total["ss"]).alias("acf"), (F.lit(1.96) / F.sqrt(total["n"])).alias("bound")
     )
 
 

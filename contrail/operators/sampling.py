@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.operators.ordered import cut_by_hash, keep_n
 from contrail.session import materialize
 
+# The helpers below run in Python workers; sending them by value spares executors an installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CHUNK = 2048  # points per neighbour-search group
 MAX_PIVOTS = 1024
 

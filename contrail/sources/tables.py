@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from contrail.operators.clean import require_columns
+from contrail.session import materialize
 
 
 def read_table(
@@ -48,11 +49,12 @@ def write_table(
 def with_row_id(df: DataFrame, out: str = "ID") -> DataFrame:
     """Number rows 0, 1, 2 ... in file order.
 
-    Each partition is counted, then numbered from its own offset; no row moves.
+    The rows are stored first. Each stored row then knows its place within its file, and one small table says
+    how many rows the files before it hold; no row moves and no global order is computed.
     """
-    spark = df.sparkSession
-    numbered = df.rdd.zipWithIndex().map(lambda pair: (pair[1], *pair[0]))
-    schema = StructType().add(out, "long", False)
-    for field in df.schema.fields:
-        schema.add(field)
-    return spark.createDataFrame(numbered, schema)
+    stored = materialize(df, "numbered")
+    rows = stored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = rows.groupBy("_file").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = files.select("_file", F.coalesce(before, F.lit(0)).alias("_before"))  # one row per file
+    return rows.join(offsets, "_file").select((F.col("_before") + F.col("_row")).alias(out), *df.columns)
