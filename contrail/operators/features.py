@@ -95,10 +95,10 @@ def daily_stats(df: DataFrame, keys: Sequence[str] = ("Origin", "FlightDate")) -
     )
 
 
-def lag_table(daily: DataFrame, day: str = "FlightDate") -> DataFrame:
+def lag_table(daily: DataFrame, day: str = "FlightDate", origin: str = "Origin") -> DataFrame:
     """Daily statistics moved one calendar day ahead."""
     return prior_day(daily, day).select(
-        *[c for c in ("split", "Origin", day) if c in daily.columns],
+        *[c for c in ("split", origin, day) if c in daily.columns],
         F.col("cancel_rate").alias("lag1_cancel_rate"),
         F.col("delay_rate").alias("lag1_delay_rate"),
         F.col("n").cast("double").alias("lag1_volume"),

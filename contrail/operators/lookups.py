@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+SALT = "_salt_"
+
+
 @dataclass(frozen=True)
 class HotKeys:
     """Values of one column that hold a large share of the rows: never more than ``1 / share`` of them."""
@@ -18,17 +21,33 @@ class HotKeys:
     salts: int = 32
 
 
-def find_hot(df: DataFrame, column: str, share: float = 0.02, salts: int | None = None) -> HotKeys:
-    """Values of ``column`` holding at least ``share`` of the rows.
+def find_hot(
+    df: DataFrame, column: str, share: float | None = None, salts: int | None = None, weight: str | None = None
+) -> HotKeys:
+    """Values of ``column`` holding at least ``share`` of the rows (of ``weight``, on a table of counts).
 
-    One aggregate over a single column; at most ``1 / share`` values reach the driver. Ask once, on the base
-    table, and hand the answer to every later lookup.
+    By default a value is hot when it holds four times what a shuffle partition should. One aggregate over a
+    single column; at most ``1 / share`` values reach the driver. Ask once, on the base table, and hand the
+    answer to every later lookup.
     """
-    counts = df.groupBy(column).agg(F.count("*").alias("n"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    share = share or min(0.5, 4 / partitions)
+    counts = df.groupBy(column).agg((F.sum(weight) if weight else F.count("*")).alias("n"))
     total = counts.agg(F.sum("n").alias("n")).scalar()
     hot = counts.where(F.col("n") >= total * F.lit(share)).where(F.col(column).isNotNull())
     found = tuple(r[0] for r in hot.select(column).collect())
-    return HotKeys(column, found, salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    return HotKeys(column, found, salts or partitions)
+
+
+def spread(df: DataFrame, hot: HotKeys, out: str = SALT) -> DataFrame:
+    """Add the salt of each row: 0 unless its key is hot.
+
+    The salt mixes the row's hash with its input partition, so equal copies of a row are spread too and a
+    retried task salts its rows the same way.
+    """
+    is_hot = F.col(hot.column).isin(*hot.values)
+    mixed = F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(hot.salts)).cast("int")
+    return df.withColumn(out, F.when(is_hot, mixed).otherwise(F.lit(0)))
 
 
 def lookup(
@@ -40,19 +59,28 @@ def lookup(
 ) -> DataFrame:
     """Join ``left`` with ``right``, which must be unique in ``on``; null keys match nothing.
 
-    With ``hot`` keys, left rows of a hot value are spread over ``hot.salts`` salts and the right rows of just
-    those values are repeated once per salt. The salt mixes the row's hash with its input partition, so equal
-    copies of a row are spread too and a retried task salts its rows the same way.
+    With ``hot`` keys, left rows of a hot value are spread over salts (see ``spread``; a salt column already
+    there is used as it is) and the right rows of just those values are repeated once per salt.
     """
     on = list(on)
     if not hot or not hot.values or hot.column not in on:
         return left.join(right, on, how)
+    salt = f"{SALT}{hot.column}"
+    keep = salt in left.columns
+    salted = left if keep else spread(left, hot, salt)
     is_hot = F.col(hot.column).isin(*hot.values)
-    spread = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.lit(hot.salts)).cast("int")
-    salted = left.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
     salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(hot.salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.withColumn("_salt", F.explode(salts))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    joined = salted.join(right.withColumn(salt, F.explode(salts)), [*on, salt], how)
+    return joined if keep else joined.drop(salt)
+
+
+def with_salt(df: DataFrame, hot: HotKeys | None) -> DataFrame:
+    """Salt once, ahead of several lookups by the same column."""
+    return spread(df, hot, f"{SALT}{hot.column}") if hot and hot.values else df
+
+
+def without_salts(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(SALT)])
 
 
 def join_back(

@@ -335,7 +335,7 @@ FINAL = ("flight_id:i weather_source:s tmpf:f vsby:f sknt:f p01i:f relh:f gust:f
 
 
 def final(spark, folder, store=materialize, skew=True):
-    flights = base.flights(spark, folder).withColumnRenamed("wx_date", "f_date")
+    flights = materialize(base.flights(spark, folder).withColumnRenamed("wx_date", "f_date"), "flights")
     return jobs.build_dataset(
         flights, base.weather(spark, folder), base.opsnet(spark, folder), base.causes(spark, folder),
         base.airports(spark, folder), base.runways(spark, folder),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +53,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def store_all(store: Callable[[DataFrame, str], DataFrame], tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Store independent tables side by side, so that small jobs do not wait for each other."""
+    with ThreadPoolExecutor(max_workers=min(8, max(1, len(tables)))) as pool:
+        futures = {label: pool.submit(store, df, label) for label, df in tables.items()}
+        return {label: f.result() for label, f in futures.items()}
