@@ -151,7 +151,7 @@ def nearest_neighbours(points: DataFrame, k: int, queries: DataFrame | None = No
     def bound(pdf: pd.DataFrame) -> pd.DataFrame:
         mine = pdf[pdf["asks"].fillna(False).astype(bool)]
         if not len(mine):
-            return pd.DataFrame({"id": [], "x": [], "cell": [], "limit": []})
+            return mine[["id", "x", "cell"]].assign(limit=0.0)
         limits = []
         everyone, ids = _matrix(pdf["x"]), pdf["id"].to_numpy()
         for start in range(0, len(mine), 512):
@@ -194,7 +194,7 @@ def nearest_neighbours(points: DataFrame, k: int, queries: DataFrame | None = No
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"id": [], "near_id": [], "distance": []})
+            return left[["id"]].assign(near_id=left["id"], distance=0.0).iloc[:0]
         found = []
         all_points, ids = _matrix(right["x"]), right["id"].to_numpy()
         take = min(k, len(ids))
