@@ -112,13 +112,14 @@ def scalar_metrics(classes: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _counts(df: DataFrame, label: str, pred: str) -> DataFrame:
+def outcome_counts(df: DataFrame, label: str = "target", pred: str = "prediction") -> DataFrame:
+    """Rows per (label, prediction): all that the class metrics need."""
     return df.groupBy(F.col(label).alias("label"), F.col(pred).alias("prediction")).agg(F.count("*").alias("n"))
 
 
 def class_report(df: DataFrame, label: str = "target", pred: str = "prediction") -> DataFrame:
     """Per-class rows followed by accuracy, macro and weighted averages: (name, precision, recall, f1, support)."""
-    classes = per_class(_counts(df, label, pred))
+    classes = per_class(outcome_counts(df, label, pred))
     one = scalar_metrics(classes)
     rows = classes.select(F.col("class").cast("string").alias("name"), "precision", "recall", "f1", "support")
     averages = one.select(F.explode(F.array(
@@ -140,7 +141,7 @@ def class_report(df: DataFrame, label: str = "target", pred: str = "prediction")
 
 
 def summary_metrics(df: DataFrame, label: str = "target", pred: str = "prediction") -> DataFrame:
-    return scalar_metrics(per_class(_counts(df, label, pred)))
+    return scalar_metrics(per_class(outcome_counts(df, label, pred)))
 
 
 def _passed(score: str, grid: Sequence[int]):
@@ -270,6 +271,22 @@ def best_f1_threshold(df: DataFrame, score: str, label: str) -> DataFrame:
     return best.select(F.col("score").alias("best_threshold"), F.col("f1").alias("best_f1"))
 
 
+def score_summary(df: DataFrame, score: str, label: str) -> DataFrame:
+    """Average precision, ROC area, best F1 and its threshold in one row, from one table of distinct scores."""
+    neg = F.col("n") - F.col("pos")
+    pairs = F.max(F.col("positives").cast("double") * (F.col("total") - F.col("positives")))
+    area = F.sum(neg.cast("double") * (F.col("hits") - F.col("pos") / 2))
+    gained = F.when(F.col("positives") > 0, F.col("pos") / F.col("positives") * F.col("hits") / F.col("taken"))
+    f1 = 2 * F.col("hits") / (F.col("taken") + F.col("positives"))
+    best = F.max(F.struct(f1.alias("f1"), "score"))
+    return score_table(df, score, label).agg(
+        F.coalesce(F.sum(gained), F.lit(0.0)).alias("pr_auc"),
+        F.when(pairs > 0, area / pairs).alias("roc_auc"),
+        best["f1"].alias("best_f1"),
+        best["score"].alias("best_threshold"),
+    )
+
+
 def f1_at(df: DataFrame, score: str, label: str, threshold: float = 0.5) -> DataFrame:
     """F1 of the positive class when predicting positive from ``threshold`` up."""
     y, p = F.col(label).cast("long"), (F.col(score) >= threshold).cast("long")

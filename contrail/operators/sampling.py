@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -36,8 +38,8 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``part``: each class is cut at the rounded cumulative fractions of its size, in seeded random order."""
     names = list(fracs)
-    bounds = [float(b) for b in np.cumsum([fracs[n] for n in names])[:-1]]
-    limits = [lambda total, b=b: F.round(total * b) for b in bounds]
+    bounds = list(accumulate(Decimal(str(fracs[n])) for n in names))[:-1]  # exact, so that halves round up
+    limits = [lambda total, b=b: F.round(total.cast("decimal(20,0)") * F.lit(b)) for b in bounds]
     cut = cut_by_hash(df, limits, keys, [label], seed, out="_part")
     return cut.withColumn("part", F.array(*[F.lit(n) for n in names])[F.col("_part")]).drop("_part")
 

@@ -262,7 +262,7 @@ def _(spark, folder):
         first={"maxDepth": 3, "stepSize": 0.1, "maxIter": 3, "pos_weight": 10},
     )
     run = models.cancel_trial(rows_a, val, NUMBERS, fills, model_b)
-    return models.param_search(spark, trials, run, "val_macro_f1")
+    return models.param_search(spark, trials, run, "val_macro_f1")[0]
 
 
 @query("m18_importances", "feature:s importance:f")
@@ -453,3 +453,12 @@ def _(spark, folder):
     return clean.union_parts(*parts)
 
 
+
+
+@query("m15_score_summary", "pr_auc:f roc_auc:f best_threshold:f best_f1:f", f"""
+WITH {score_sql('prob_delay', 1).strip()},
+     b AS (SELECT s, 2 * hits / (taken + p) AS f1 FROM u ORDER BY f1 DESC, s DESC LIMIT 1)
+SELECT sum(pos / p * hits / taken) AS pr_auc, sum((n - pos) * (hits - pos / 2)) / any_value(p * (total - p)) AS roc_auc,
+       (SELECT s FROM b) AS best_threshold, (SELECT f1 FROM b) AS best_f1 FROM u""")
+def _(spark, folder):
+    return metrics.score_summary(base.scored(spark, folder), "prob_delay", "is_delayed")

@@ -220,6 +220,11 @@ def _(spark, folder):
     return association.corr_with(base.merged(spark, folder), cols, "DepDelay", min_non_null=100)
 
 
+# Means that agree up to floating noise must tie in both engines, so measures are rounded before ranking.
+def rounded(df):
+    return df.withColumns({c: F.round(c, 6) for c in SPEARMAN_X})
+
+
 SPEARMAN_X = ["tmpf", "vsby", "sknt", "p01i", "relh"]
 
 
@@ -228,17 +233,18 @@ def spearman_sql(xs, ys) -> str:
     ranks = ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2 AS r_{c}" for c in cols)
     pairs = " UNION ALL ".join(f"SELECT '{x}' AS x, '{y}' AS y, corr(r_{x}, r_{y}) AS rho FROM r" for x in xs for y in ys)
     where = " AND ".join(f"{c} IS NOT NULL" for c in cols)
-    return f"WITH r AS (SELECT {ranks} FROM merged WHERE {where}) {pairs}"
+    near = ", ".join(f"round({c}, 6) AS {c}" for c in SPEARMAN_X)
+    return f"WITH t AS (SELECT * REPLACE ({near}) FROM merged), r AS (SELECT {ranks} FROM t WHERE {where}) {pairs}"
 
 
 @query("c2_spearman_target", "x:s y:s rho:f", spearman_sql(SPEARMAN_X, ["is_on_time", "is_delayed", "is_cancelled"]))
 def _(spark, folder):
-    return association.spearman(base.merged(spark, folder), SPEARMAN_X, ["is_on_time", "is_delayed", "is_cancelled"])
+    return association.spearman(rounded(base.merged(spark, folder)), SPEARMAN_X, ["is_on_time", "is_delayed", "is_cancelled"])
 
 
 @query("c2_spearman_matrix", "x:s y:s rho:f", spearman_sql(SPEARMAN_X, SPEARMAN_X))
 def _(spark, folder):
-    return association.spearman(base.merged(spark, folder), SPEARMAN_X)
+    return association.spearman(rounded(base.merged(spark, folder)), SPEARMAN_X)
 
 
 ANOVA_X = ["Distance", "dep_hour", "tmpf", "vsby", "sknt", "gust"]
