@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,12 +27,16 @@ def optional_columns(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame
     return df.withColumns(absent) if absent else df
 
 
+def in_year(c: str, year: int) -> Column:
+    """Whether a date falls in the year, as a range comparison."""
+    day = F.col(c)
+    return (day >= F.lit(f"{year}-01-01").cast("date")) & (day < F.lit(f"{year + 1}-01-01").cast("date"))
+
+
 def exclude_years(df: DataFrame, c: str = "FlightDate", years: Sequence[int] = tuple(K.EXCLUDED_YEARS)) -> DataFrame:
     """Drop the given years, as date ranges so that a parquet scan can skip row groups; null dates are kept."""
-    day = F.col(c)
     for y in years:
-        inside = (day >= F.lit(f"{y}-01-01").cast("date")) & (day < F.lit(f"{y + 1}-01-01").cast("date"))
-        df = df.where(day.isNull() | ~inside)
+        df = df.where(F.col(c).isNull() | ~in_year(c, y))
     return df
 
 
@@ -109,11 +115,15 @@ def label_flights(
 def temporal_split(
     df: DataFrame, years: Mapping[str, Sequence[int]] = K.SPLIT_YEARS, c: str = "FlightDate"
 ) -> DataFrame:
-    """Add ``split`` by year and drop the years in no split."""
-    chain = F
+    """Add ``split`` by year and drop the years in no split.
+
+    Each split is a union of date ranges, which a scan of a date column can push down to skip row groups.
+    """
+    chain, kept = F, F.lit(False)
     for name, members in years.items():
-        chain = chain.when(F.year(c).isin(*members), name)
-    return df.withColumn("split", chain).where("split is not null")
+        inside = reduce(or_, [in_year(c, y) for y in members])
+        chain, kept = chain.when(inside, name), kept | inside
+    return df.where(kept).withColumn("split", chain)
 
 
 def split_of(df: DataFrame, name: str) -> DataFrame:

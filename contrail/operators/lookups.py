@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -26,17 +27,18 @@ def find_hot(
 ) -> HotKeys:
     """Values of ``column`` holding at least ``share`` of the rows (of ``weight``, on a table of counts).
 
-    By default a value is hot when it holds four times what a shuffle partition should. One aggregate over a
-    single column; at most ``1 / share`` values reach the driver. Ask once, on the base table, and hand the
-    answer to every later lookup.
+    By default a value is hot when it holds four times what a shuffle partition should, and there are as many
+    salts as partitions the largest value should fill. One aggregate over a single column; at most ``1 / share``
+    values reach the driver. Ask once, on the base table, and hand the answer to every later lookup.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     share = share or min(0.5, 4 / partitions)
     counts = df.groupBy(column).agg((F.sum(weight) if weight else F.count("*")).alias("n"))
     total = counts.agg(F.sum("n").alias("n")).scalar()
     hot = counts.where(F.col("n") >= total * F.lit(share)).where(F.col(column).isNotNull())
-    found = tuple(r[0] for r in hot.select(column).collect())
-    return HotKeys(column, found, salts or partitions)
+    found = hot.select(column, (F.col("n") / total).alias("part")).collect()
+    largest = max((float(r["part"]) for r in found), default=0.0)
+    return HotKeys(column, tuple(r[0] for r in found), salts or max(2, math.ceil(largest * partitions)))
 
 
 def spread(df: DataFrame, hot: HotKeys, out: str = SALT) -> DataFrame:
