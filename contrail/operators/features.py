@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from contrail import constants as K
 from contrail.operators.lookups import HotKeys, join_back, lookup, prior_day, prior_month
 from contrail.operators.ordered import quantile_row, running_totals, text_block
+from contrail.session import materialize
 
 SEASON_EDGES = [0, 3, 6, 9, 12]
 SEASONS = ["winter", "spring", "summer", "fall"]
@@ -114,9 +115,12 @@ def prior_day_features(df: DataFrame, per_split: bool = True, hot: HotKeys | Non
     """
     keys = ["split", "Origin", "FlightDate"] if per_split else ["Origin", "FlightDate"]
     source = df if per_split else in_scope(df, "train")
-    daily = daily_stats(source, keys)
+    daily = materialize(daily_stats(source, keys), "daily")  # one row per airport and day, read three times
     lag = lag_table(daily)
-    rates = global_rates(df, {"cancel": "is_cancelled", "delay": "is_delayed"})
+    n = F.sum("n")
+    rates = (in_scope(daily, "train") if per_split else daily).agg(
+        F.struct((F.sum("n_cancelled") / n).alias("cancel"), (F.sum("n_delayed") / n).alias("delay"))
+    ).scalar()
     if per_split:
         volume = quantile_row(in_scope(daily, "train"), ["n"]).select("n").scalar()
     else:

@@ -103,36 +103,39 @@ def exact_quantiles(
         F.coalesce(F.sum("_n").over(ordered), F.lit(0)).alias("_before"),
         F.sum("_n").over(Window.partitionBy(*group)).alias("n"),
     )
-    rank = (F.col("n") - 1) * F.col("p")
-    wanted = (
-        blocks.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumns({"_at": rank, "_low": F.floor(rank), "_high": F.ceil(rank)})
-        .where("_before <= _high and _before + _n > _low")
-    )
-    spots = wanted.groupBy(*group, "_block", "_before").agg(
-        F.collect_list(F.struct("p", "_at", "_low", "_high", "n")).alias("_wanted")
-    )
+    # which of the wanted ranks touch the block
+    touched = [
+        F.when((F.col("_before") <= F.ceil(_rank(p))) & (F.col("_before") + F.col("_n") > F.floor(_rank(p))), i)
+        for i, p in enumerate(probs)
+    ]
+    spots = blocks.withColumn("_wanted", F.array_compact(F.array(*touched))).where(F.size("_wanted") > 0).drop("_n")
     if bounded_by or not by:
         spots = F.broadcast(spots)  # at most two rows per group, column and probability
     near = (
-        long.join(spots.drop("_wanted"), [*group, "_block"])
-        .groupBy(*group, "_block", "_before", "value")
+        long.join(spots, [*group, "_block"])
+        .groupBy(*group, "_block", "_before", "n", "_wanted", "value")
         .agg(F.count("*").alias("_c"))
     )
     upto = Window.partitionBy(*group, "_block").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    near = near.withColumn("_end", F.col("_before") + F.sum("_c").over(upto))
-    found = (
-        near.join(spots.drop("_before"), [*group, "_block"])
-        .withColumn("_w", F.explode("_wanted"))
-        .select(*group, "value", (F.col("_end") - F.col("_c")).alias("_start"), "_end", "_w.*")
-        .where("_start <= _high and _end > _low")
+    end = F.col("_before") + F.sum("_c").over(upto)
+    found = near.select(*group, "value", "n", "_wanted", "_c", end.alias("_end")).select(
+        *group, "value", "n", "_end", (F.col("_end") - F.col("_c")).alias("_start"), F.explode("_wanted").alias("_i")
     )
-    low = F.max(F.when((F.col("_start") <= F.col("_low")) & (F.col("_end") > F.col("_low")), F.col("value")))
-    high = F.max(F.when((F.col("_start") <= F.col("_high")) & (F.col("_end") > F.col("_high")), F.col("value")))
-    share = F.max("_at") - F.max("_low")
+    found = found.withColumn("p", F.array(*[F.lit(float(p)) for p in probs])[F.col("_i")])
+    at = _rank(F.col("p"))
+
+    def value_at(place: Column) -> Column:
+        return F.max(F.when((F.col("_start") <= place) & (F.col("_end") > place), F.col("value")))
+
+    low, high, share = value_at(F.floor(at)), value_at(F.ceil(at)), F.max(at - F.floor(at))
     return found.groupBy(*group, "p").agg((low + (high - low) * share).alias("q"), F.max("n").alias("n"))
 
 
+def _rank(p: Column | float) -> Column:
+    """Place of quantile ``p`` among ``n`` ordered rows, counted from 0."""
+    return (F.col("n") - 1) * p
+
+
 def quantile_row(df: DataFrame, cols: Sequence[str], p: float = 0.5) -> DataFrame:
     """One row holding the exact ``p`` quantile of each column under the column's own name."""
     found = exact_quantiles(df, cols, [p])

@@ -1,4 +1,8 @@
-"""Adapter tables in the form the operators expect; shared by the query modules."""
+"""Adapter tables in the form the operators expect; shared by the query modules.
+
+The adapter views stand in for tables that a user has as files, so each is stored once per session and folder, and the
+queries scan it like any table.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +13,7 @@ from contrail.functions.casts import hhmm_hour
 from contrail.operators.clean import label_flights, temporal_split
 from contrail.operators.weather import enrich_with_fallback, hourly_weather, region_hourly
 from contrail.plans.adapters import view
+from contrail.session import materialize
 
 # the adapter's year roles, in place of the flight data's own
 YEARS = {"train": [1995, 1996, 1998, 1999], "val": [2000], "test": [2001]}
@@ -16,8 +21,18 @@ YEARS_OUT = [1997]
 CAUSE_YEARS = (1995, 2001)
 
 
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _STORED:
+        _STORED[key] = materialize(view(spark, folder, name), name)
+    return _STORED[key]
+
+
 def flights(spark: SparkSession, folder: str) -> DataFrame:
-    return view(spark, folder, "flights")
+    return stored(spark, folder, "flights")
 
 
 def labelled(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,7 +44,7 @@ def splits(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def weather(spark: SparkSession, folder: str) -> DataFrame:
-    return view(spark, folder, "weather")
+    return stored(spark, folder, "weather")
 
 
 def hourly(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,12 +59,12 @@ def merged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def opsnet(spark: SparkSession, folder: str) -> DataFrame:
-    return view(spark, folder, "opsnet").withColumnRenamed("ops_date", "date")
+    return stored(spark, folder, "opsnet").withColumnRenamed("ops_date", "date")
 
 
 def table(name: str):
     def load(spark: SparkSession, folder: str) -> DataFrame:
-        return view(spark, folder, name)
+        return stored(spark, folder, name)
 
     return load
 
@@ -60,7 +75,7 @@ runways = table("runways")
 
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
-    return view(spark, folder, "scored").withColumns(
+    return stored(spark, folder, "scored").withColumns(
         {"is_cancelled": (F.col("target") == 2).cast("int"), "is_delayed": (F.col("target") == 1).cast("int")}
     )
 
