@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.operators.lookups import HotKeys, lookup
@@ -77,9 +77,11 @@ def anova_f(df: DataFrame, xs: Sequence[str], y: str) -> DataFrame:
     groups = unpivot(zero, xs, [y]).groupBy("column", y).agg(
         F.count("*").alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v")
     )
+    each = Window.partitionBy("column")  # one row per class
+    mean = F.sum(F.col("n") * F.col("m")).over(each) / F.sum("n").over(each)
+    groups = groups.withColumn("off", F.col("m") - mean)
     n, k = F.sum("n"), F.count("*")
-    grand = F.sum(F.col("n") * F.col("m")) / n
-    between = F.sum(F.col("n") * F.col("m") * F.col("m")) - n * grand * grand
+    between = F.sum(F.col("n") * F.col("off") * F.col("off"))
     within = F.sum(F.col("n") * F.col("v"))
     return groups.groupBy("column").agg(F.try_divide(F.try_divide(between, k - 1), F.try_divide(within, n - k)).alias("f"))
 
@@ -92,7 +94,9 @@ def cramers_v(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
     continuity correction.
     """
     kept = df.where(F.col(y).isNotNull())
-    cell = unpivot(kept, cols, [y], kind="string").groupBy("column", "value", y).agg(F.count("*").alias("o"))
+    cell = unpivot(kept, cols, [y], kind="string").groupBy("column", "value", y).agg(
+        F.count("*").cast("double").alias("o")  # products of counts outgrow a long
+    )
     by_row = cell.groupBy("column", "value").agg(F.sum("o").alias("r"))
     by_col = cell.groupBy("column", y).agg(F.sum("o").alias("c"))
     sizes = by_row.groupBy("column").agg(F.count("*").alias("rows"), F.sum("r").alias("n")).join(

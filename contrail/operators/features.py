@@ -1,6 +1,10 @@
 """Leakage-free statistics of past flights and the encodings built from them.
 
 Every statistic takes a ``scope``: ``'train'`` uses training rows only, ``'all'`` uses every row.
+
+Operators that attach a statistic take an optional ``source``, the table to learn it from (by default the table it is
+attached to). When several are chained, pass the stored table they all start from: otherwise each one computes the
+joins of those before it again.
 """
 
 from __future__ import annotations
@@ -33,9 +37,11 @@ def label_index(df: DataFrame, c: str, missing: str = "Unknown") -> DataFrame:
     )
 
 
-def label_encode(df: DataFrame, c: str, hot: HotKeys | None = None, missing: str = "Unknown") -> DataFrame:
+def label_encode(
+    df: DataFrame, c: str, hot: HotKeys | None = None, missing: str = "Unknown", source: DataFrame | None = None
+) -> DataFrame:
     """Add ``<c>_enc``; a null counts as the category ``missing``."""
-    index = label_index(df, c, missing).withColumnRenamed(c, f"_{c}")
+    index = label_index(df if source is None else source, c, missing).withColumnRenamed(c, f"_{c}")
     keyed = df.withColumn(f"_{c}", F.coalesce(F.col(c).cast("string"), F.lit(missing)))
     if hot:
         hot = HotKeys(f"_{c}", hot.values, hot.salts)
@@ -78,10 +84,12 @@ def target_encode(
     m: float,
     scope: str = "train",
     hot: HotKeys | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Attach smoothed rates; groups never seen in scope get the global rate."""
-    overall = global_rates(df, labels, scope)
-    table = encoding_table(df, keys, labels, m, scope)
+    source = df if source is None else source
+    overall = global_rates(source, labels, scope)
+    table = encoding_table(source, keys, labels, m, scope)
     return join_back(df, table, keys, {name: overall[name] for name in labels}, hot)
 
 
@@ -107,14 +115,17 @@ def lag_table(daily: DataFrame, day: str = "FlightDate", origin: str = "Origin")
     )
 
 
-def prior_day_features(df: DataFrame, per_split: bool = True, hot: HotKeys | None = None) -> DataFrame:
+def prior_day_features(
+    df: DataFrame, per_split: bool = True, hot: HotKeys | None = None, source: DataFrame | None = None
+) -> DataFrame:
     """Yesterday's rates and volume at the origin, from the same split; without a yesterday, training averages.
 
     ``per_split=False`` is the earlier variant: only training days are looked up, and the volume falls back
     to the mean over training rows that did have a yesterday.
     """
     keys = ["split", "Origin", "FlightDate"] if per_split else ["Origin", "FlightDate"]
-    source = df if per_split else in_scope(df, "train")
+    source = df if source is None else source
+    source = source if per_split else in_scope(source, "train")
     daily = materialize(daily_stats(source, keys), "daily")  # one row per airport and day, read three times
     lag = lag_table(daily)
     n = F.sum("n")
@@ -148,10 +159,12 @@ def hourly_counts(df: DataFrame, scope: str = "train") -> DataFrame:
     )
 
 
-def hourly_congestion(df: DataFrame, scope: str = "train", hot: HotKeys | None = None) -> DataFrame:
+def hourly_congestion(
+    df: DataFrame, scope: str = "train", hot: HotKeys | None = None, source: DataFrame | None = None
+) -> DataFrame:
     """Flights leaving the same airport in the same hour; 1 where unknown."""
     return join_back(
-        df, hourly_counts(df, scope), ["Origin", "FlightDate", "dep_hour"], {"hourly_flights": F.lit(1.0)}, hot
+        df, hourly_counts(df if source is None else source, scope), ["Origin", "FlightDate", "dep_hour"], {"hourly_flights": F.lit(1.0)}, hot
     )
 
 
@@ -170,21 +183,23 @@ def cause_lag_table(df: DataFrame, scope: str = "train") -> DataFrame:
     return prior_month(first, "_year", "_month")
 
 
-def prior_month_causes(df: DataFrame, scope: str = "train", hot: HotKeys | None = None) -> DataFrame:
+def prior_month_causes(
+    df: DataFrame, scope: str = "train", hot: HotKeys | None = None, source: DataFrame | None = None
+) -> DataFrame:
     dated = df.withColumns({"_year": F.year("FlightDate"), "_month": F.month("FlightDate")})
-    table = cause_lag_table(df, scope)
+    table = cause_lag_table(df if source is None else source, scope)
     zeros = {c: F.lit(0.0) for c in table.columns if c.startswith("lag1m_")}
     out = join_back(dated, table, ["Origin", "_year", "_month"], zeros, hot).drop("_year", "_month")
     absent = [f"lag1m_{c}" for c in K.DELAY_CAUSES if c not in df.columns]
     return out.withColumns({c: F.lit(0.0) for c in absent}) if absent else out
 
 
-def prev_day_failure(df: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def prev_day_failure(df: DataFrame, hot: HotKeys | None = None, source: DataFrame | None = None) -> DataFrame:
     """1 if any flight failed on the origin's previous *recorded* day, however long ago; 0 on its first day.
 
     Only the airport-day table is ordered, never the flights.
     """
-    days = df.groupBy("Origin", "FlightDate").agg(
+    days = (df if source is None else source).groupBy("Origin", "FlightDate").agg(
         F.max(F.greatest("is_cancelled", "is_delayed")).alias("_failed")
     )
     before = F.lag("_failed", 1, 0).over(Window.partitionBy("Origin").orderBy("FlightDate"))
@@ -192,9 +207,12 @@ def prev_day_failure(df: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     return join_back(df, table, ["Origin", "FlightDate"], {"prev_day_failure_origin": F.lit(0)}, hot)
 
 
-def group_demean(df: DataFrame, key: str, c: str, out: str, hot: HotKeys | None = None) -> DataFrame:
+def group_demean(
+    df: DataFrame, key: str, c: str, out: str, hot: HotKeys | None = None, source: DataFrame | None = None
+) -> DataFrame:
     """``c`` minus its group mean; the mean is aggregated and looked up, so no group lands in one task."""
-    means = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(c).alias("_mean"))
+    source = df if source is None else source
+    means = source.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(c).alias("_mean"))
     return lookup(df, means, [key], hot).withColumn(out, F.col(c) - F.col("_mean")).drop("_mean")
 
 

@@ -48,7 +48,7 @@ def spread(df: DataFrame, hot: HotKeys, out: str = SALT) -> DataFrame:
     retried task salts its rows the same way.
     """
     is_hot = F.col(hot.column).isin(*hot.values)
-    mixed = F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(hot.salts)).cast("int")
+    mixed = F.pmod(F.pmod(F.xxhash64(*df.columns), F.lit(hot.salts)) + F.spark_partition_id(), F.lit(hot.salts)).cast("int")
     return df.withColumn(out, F.when(is_hot, mixed).otherwise(F.lit(0)))
 
 

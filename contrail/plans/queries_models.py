@@ -430,7 +430,8 @@ def _(spark, folder):
     from contrail.operators.features import holiday_dates
 
     days = holiday_dates(spark, 1995, 2001).where("(month(holiday) = 7 and day(holiday) = 4) or (month(holiday) = 12 and day(holiday) = 25)")
-    return jobs.build_rf_features(base.merged(spark, folder).drop("is_cancelled", "is_delayed", "is_on_time", "target", "target_name"), days, base.YEARS_OUT)
+    merged = materialize(base.merged(spark, folder), "merged")
+    return jobs.build_rf_features(merged.drop("is_cancelled", "is_delayed", "is_on_time", "target", "target_name"), days, base.YEARS_OUT)
 
 
 @query("job4_to_job6_train_tune_score", "Prediction:s n:i")
@@ -462,3 +463,33 @@ SELECT sum(pos / p * hits / taken) AS pr_auc, sum((n - pos) * (hits - pos / 2))
        (SELECT s FROM b) AS best_threshold, (SELECT f1 FROM b) AS best_f1 FROM u""")
 def _(spark, folder):
     return metrics.score_summary(base.scored(spark, folder), "prob_delay", "is_delayed")
+
+
+@query("job3_build_linear_features", "flight_id:i target:i Airline:s dep_hour:f DayOfWeek:f month_sin:f dow_cos:f tmpf:f gust:f is_red_eye:f "
+       "is_evening:f is_holiday_season:f high_wind:f low_visibility:f precip_light:f precip_moderate:f precip_heavy:f", """
+SELECT flight_id, target, Airline, dep_hour, isodow(FlightDate) AS "DayOfWeek", sin(2 * pi() * mon / 12) AS month_sin, cos(2 * pi() * isodow(FlightDate) / 7) AS dow_cos,
+       coalesce(tmpf, 0) AS tmpf, coalesce(gust, 0) AS gust, CASE WHEN dep_hour <= 4 THEN 1 ELSE 0 END AS is_red_eye, CASE WHEN dep_hour >= 18 THEN 1 ELSE 0 END AS is_evening,
+       CASE WHEN mon IN (11, 12, 1) THEN 1 ELSE 0 END AS is_holiday_season, CASE WHEN sknt > 20 OR gust > 35 THEN 1 ELSE 0 END AS high_wind,
+       CASE WHEN vsby < 3 THEN 1 ELSE 0 END AS low_visibility, CASE WHEN p01i >= 0.01 AND p01i < 0.1 THEN 1 ELSE 0 END AS precip_light,
+       CASE WHEN p01i >= 0.1 AND p01i < 0.5 THEN 1 ELSE 0 END AS precip_moderate, CASE WHEN p01i >= 0.5 THEN 1 ELSE 0 END AS precip_heavy FROM merged""")
+def _(spark, folder):
+    return jobs.build_linear_features(base.merged(spark, folder), keep=["flight_id", "target"])
+
+
+@query("job3_build_boosted_features", "flight_id:i split:s Airline_enc:i origin_cancel_rate:f lag1_cancel_rate:f lag1_volume:f hour_sin:f freezing:i "
+       "nas_x_peak:f lag_cancel_x_winter:f lag_delay_x_peak:f precip_x_evening:i", """
+WITH s AS (SELECT *, CASE WHEN yr = 2000 THEN 'val' WHEN yr = 2001 THEN 'test' ELSE 'train' END AS split,
+             CASE WHEN dep_hour BETWEEN 8 AND 11 THEN 1 ELSE 0 END AS peak, CASE WHEN dep_hour BETWEEN 17 AND 20 THEN 1 ELSE 0 END AS eve,
+             CASE WHEN mon IN (12, 1, 2) THEN 1 ELSE 0 END AS winter FROM final),
+     g AS (SELECT avg(is_cancelled) AS c, avg(is_delayed) AS d FROM s WHERE split = 'train'),
+     a AS (SELECT Airline, row_number() OVER (ORDER BY Airline) - 1 AS i FROM (SELECT DISTINCT Airline FROM s)),
+     o AS (SELECT Origin, count(*) AS n, sum(is_cancelled) AS c FROM s WHERE split = 'train' GROUP BY 1),
+     d AS (SELECT Origin, FlightDate, count(*) AS n, avg(is_cancelled) AS c, avg(is_delayed) AS d FROM s WHERE split = 'train' GROUP BY 1, 2),
+     j AS (SELECT s.*, a.i, (coalesce(o.c, 0) + 5000 * g.c) / (coalesce(o.n, 0) + 5000) AS oc, d.n AS dn, coalesce(d.c, g.c) AS dc, coalesce(d.d, g.d) AS dd
+           FROM s CROSS JOIN g JOIN a ON s.Airline = a.Airline LEFT JOIN o ON s.Origin = o.Origin LEFT JOIN d ON s.Origin = d.Origin AND s.FlightDate = d.FlightDate + 1)
+SELECT flight_id, split, i AS "Airline_enc", oc AS origin_cancel_rate, dc AS lag1_cancel_rate, coalesce(dn, (SELECT avg(dn) FROM j WHERE split = 'train')) AS lag1_volume,
+       sin(2 * pi() * dep_hour / 24) AS hour_sin, CASE WHEN tmpf < 32 THEN 1 ELSE 0 END AS freezing, nas_delay * peak AS nas_x_peak, dc * winter AS lag_cancel_x_winter,
+       dd * peak AS lag_delay_x_peak, CASE WHEN coalesce(p01i, 0) > 0 THEN eve ELSE 0 END AS precip_x_evening FROM j""")
+def _(spark, folder):
+    table = materialize(final(spark, folder), "final")
+    return jobs.build_boosted_features(table, base.YEARS, keep=["flight_id"])
