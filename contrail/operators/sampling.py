@@ -151,7 +151,7 @@ def nearest_neighbours(points: DataFrame, k: int, queries: DataFrame | None = No
     asked = chunked.join(ask, "id", "left") if ask is not None else chunked.withColumn("asks", F.lit(True))
 
     def bound(pdf: pd.DataFrame) -> pd.DataFrame:
-        mine = pdf[pdf["asks"].fillna(False).astype(bool)]
+        mine = pdf[pdf["asks"].eq(True)]
         if not len(mine):
             return mine[["id", "x", "cell"]].assign(limit=0.0)
         limits = []
