@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,6 +96,16 @@ def _pieces(texts: pa.Array, window: int) -> Iterator[tuple[np.ndarray, np.ndarr
         row = stop
 
 
+def _digest(around: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """64-bit name of each surrounding."""
+    out = np.empty(len(around), np.uint64)
+    odd = _mixed(np.arange(1, around.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    for i in range(0, len(around), 1 << 14):
+        part = around[i : i + (1 << 14)].astype(np.uint64) + np.uint64(1)
+        out[i : i + (1 << 14)] = (part * odd).sum(axis=1, dtype=np.uint64)
+    return _mixed(out + (left * 64 + right).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
 class _Chosen:
     """The chosen suffixes of some bytes: place, piece, tokens and fingerprint of each."""
 
@@ -128,10 +139,7 @@ class _Chosen:
         place = np.clip(self.at[:, None] + offset, 0, max(len(self.data) - 1, 0))
         real = (offset >= -left[:, None]) & (offset < right[:, None])
         around = np.where(real, self.data[place], 0).astype(np.uint8)
-        odd = _mixed(np.arange(1, len(offset) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-        digest = ((around.astype(np.uint64) + np.uint64(1)) * odd).sum(axis=1, dtype=np.uint64)
-        digest = _mixed(digest + (left * 64 + right).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-        return around, left.astype(np.uint8), right.astype(np.uint8), digest
+        return around, left.astype(np.uint8), right.astype(np.uint8), _digest(around, left, right)
 
 
 def _bucket_of(t0: np.ndarray, t1: np.ndarray, s0: np.ndarray, s1: np.ndarray) -> np.ndarray:
@@ -152,11 +160,16 @@ def _text_column(table: pa.Table, name: str) -> pa.Array:
 
 
 def _blob(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x).tobytes()
+    """Compressed bytes of an array; rows of text that come sorted share most of their bytes."""
+    return zstandard.compress(np.ascontiguousarray(x).tobytes(), 3)
+
+
+def _unblob(blob: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(blob), kind)
 
 
 def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+    return np.frombuffer(b"".join(map(zstandard.decompress, table.column(name).to_pylist())), kind)
 
 
 def _splitters(docs: DataFrame, text: str, window: int, buckets: int) -> np.ndarray:
@@ -175,7 +188,7 @@ def _splitters(docs: DataFrame, text: str, window: int, buckets: int) -> np.ndar
             yield pa.RecordBatch.from_pydict({"tokens": [_blob(found.T)]}, schema=pa.schema([("tokens", pa.binary())]))
 
     rows = sample.mapInArrow(leading, "tokens binary").collect()  # at most MAX_SAMPLE * SAMPLE_OF_EACH tokens
-    pairs = np.frombuffer(b"".join(r[0] for r in rows), np.uint64).reshape(-1, 2)
+    pairs = np.concatenate([np.zeros(0, np.uint64), *(_unblob(r[0], np.uint64) for r in rows)]).reshape(-1, 2)
     pairs = pairs[multikey_order(pairs)] if len(pairs) else pairs
     places = (np.arange(1, buckets) * len(pairs)) // buckets
     return pairs[places].T.copy() if len(pairs) else np.zeros((2, 0), np.uint64)
@@ -221,7 +234,7 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
             for i, n in zip(start, count):
                 rows[BLOCK].append(block)
                 rows["bucket"].append(int(bucket[i]))
-                rows["tokens"].append(_blob(np.stack([t0[i : i + n], t1[i : i + n]])))
+                rows["tokens"].append(_blob(np.stack([t0[i : i + n], t1[i : i + n]], axis=1).astype(">u8")))
                 rows["shared"].append(_blob(shared[i : i + n]))
         return pa.table(rows, schema=pa.schema([
             (BLOCK, pa.int32()), ("bucket", pa.int32()), ("tokens", pa.binary()), ("shared", pa.binary())
@@ -230,7 +243,7 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
     def shared_tokens(table: pa.Table) -> pa.Table:
         """For each block, the fingerprints of its leading tokens that stand in more than one document."""
         of_block = table.column(BLOCK).to_pylist()
-        pairs = [np.frombuffer(x, np.uint64).reshape(2, -1).T for x in table.column("tokens").to_pylist()]
+        pairs = [_unblob(x, ">u8").astype(np.uint64).reshape(-1, 2) for x in table.column("tokens").to_pylist()]
         sizes = [len(x) for x in pairs]
         tokens = np.concatenate(pairs)
         flags = _joined(table, "shared", bool)
@@ -250,7 +263,7 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
     def surroundings(table: pa.Table, marks: pa.Table) -> pa.Table:
         """Distinct surroundings of the block's shared suffixes, by bucket, with the smallest and largest document."""
         schema = pa.schema([(BLOCK, pa.int32()), ("bucket", pa.int32())] + [
-            (c, pa.binary()) for c in ("around", "left", "right", "digest", "gram", "low", "high")
+            (c, pa.binary()) for c in ("around", "left", "right", "low", "high")
         ])
         parts = []
         if len(marks) and len(table):
@@ -259,20 +272,19 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
             for data, rows, edges, _ in _pieces(_text_column(table, text), window):
                 c = _Chosen(data, edges, window)
                 c.only(_member(c.gram, grams))
-                parts.append((*c.surroundings(), c.t0, c.t1, c.gram, ids[rows[c.piece]]))
+                parts.append((*c.surroundings(), c.t0, c.t1, ids[rows[c.piece]]))
         if not sum(len(p[0]) for p in parts):
             return schema.empty_table()
-        around, left, right, digest, t0, t1, gram, doc = (np.concatenate(x) for x in zip(*parts))
+        around, left, right, digest, t0, t1, doc = (np.concatenate(x) for x in zip(*parts))
         order = np.argsort(digest, kind="stable")
         first, _ = runs(np.concatenate([[True], digest[order][1:] != digest[order][:-1]]))
         low, high = np.minimum.reduceat(doc[order], first), np.maximum.reduceat(doc[order], first)
         pick = order[first]
+        by = multikey_order(np.stack([t0[pick], t1[pick]], axis=1))
+        pick, low, high = pick[by], low[by], high[by]
         bucket = _bucket_of(t0[pick], t1[pick], s0, s1)
-        by = np.argsort(bucket, kind="stable")
-        pick, bucket, low, high = pick[by], bucket[by], low[by], high[by]
         start, count = runs(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-        columns = {"around": around[pick], "left": left[pick], "right": right[pick], "digest": digest[pick],
-                   "gram": gram[pick], "low": low, "high": high}
+        columns = {"around": around[pick], "left": left[pick], "right": right[pick], "low": low, "high": high}
         block = table.column(BLOCK)[0].as_py()
         return pa.table({
             BLOCK: [block] * len(start), "bucket": bucket[start].astype(np.int32),
@@ -281,18 +293,21 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
 
     def resolve(table: pa.Table) -> pa.Table:
         """For each block, runs of windows around a suffix that a document smaller than one of the block's holds."""
-        digest, gram = _joined(table, "digest", np.uint64), _joined(table, "gram", np.uint64)
         low, high = _joined(table, "low", np.int64), _joined(table, "high", np.int64)
+        around = _joined(table, "around", np.uint8).reshape(-1, before + window)
+        left, right = (_joined(table, c, np.uint8).astype(np.int64) for c in ("left", "right"))
+        digest = _digest(around, left, right)
+        t0, t1 = np.ascontiguousarray(around[:, before : before + GRAM]).view(">u8").astype(np.uint64).T
+        gram = _fingerprint(t0, t1)
         order = np.argsort(digest, kind="stable")
         first, count = runs(np.concatenate([[True], digest[order][1:] != digest[order][:-1]]))
         pick = order[first]
         least = np.minimum.reduceat(low[order], first)
-        around = _joined(table, "around", np.uint8).reshape(-1, before + window)[pick]
-        holder = _smallest_holder(around, _joined(table, "left", np.uint8)[pick].astype(np.int64),
-                                  _joined(table, "right", np.uint8)[pick].astype(np.int64), least, window)
+        holder = _smallest_holder(around[pick], left[pick], right[pick], least, window)
         of = np.empty(len(digest), np.int64)
         of[order] = np.repeat(np.arange(len(first)), count)
-        block = np.repeat(table.column(BLOCK).to_numpy(), [len(x) // 8 for x in table.column("digest").to_pylist()])
+        sizes = [len(zstandard.decompress(x)) for x in table.column("left").to_pylist()]
+        block = np.repeat(table.column(BLOCK).to_numpy(), sizes)
         useful = np.flatnonzero((holder[of] < high[:, None]).any(axis=1))
         table_of = holder[of[useful]]
         change = np.ones(table_of.shape, bool)
@@ -354,7 +369,7 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
     marks = marks.groupBy("bucket").applyInArrow(shared_tokens, f"{BLOCK} int, grams binary")
     around = by_block.cogroup(marks.groupBy(BLOCK)).applyInArrow(
         surroundings,
-        f"{BLOCK} int, bucket int, around binary, left binary, right binary, digest binary, gram binary, low binary, high binary",
+        f"{BLOCK} int, bucket int, around binary, left binary, right binary, low binary, high binary",
     )
     holders = around.groupBy("bucket").applyInArrow(
         resolve, f"{BLOCK} int, digest binary, gram binary, begin binary, end binary, who binary"
