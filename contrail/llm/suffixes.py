@@ -208,7 +208,7 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
         raise ValueError(f"the window must be {2 * GRAM} bytes or more")
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks, buckets = 4 * partitions, 2 * partitions
+    blocks, buckets = 3 * partitions, partitions
     before = window - GRAM
     docs = docs.drop(out)
     s0, s1 = _splitters(docs, text, window, buckets)
