@@ -51,7 +51,9 @@ def _items(text: Column, kind: str, pattern: str, group: int, keep, extra) -> Co
             F.lit(kind).alias("kind"), i.alias("i"), F.length(x["before"]).alias("skip"), F.length(x["found"]).alias("length"),
             kept.alias("kept"), F.when(kept & F.lit(extra), x["value"]).alias("value"))
 
-    return F.transform(F.filter(rows, lambda x: x["found"].isNotNull()), one)
+    items = F.transform(F.filter(rows, lambda x: x["found"].isNotNull()), one)
+    none = F.array().cast("array<struct<kind:string,i:int,skip:int,length:int,kept:boolean,value:string>>")
+    return F.when(text.rlike(pattern), items).otherwise(none)  # one look decides whether the text is taken apart
 
 
 def _candidate(x: Column) -> Column:
