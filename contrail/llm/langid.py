@@ -150,8 +150,11 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     n_lang = len(named.select("lang").distinct().limit(max_rows).collect())
     if not n_lang:
         return None
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    chosen = named.withColumn("place", F.row_number().over(order)).where(F.col("place") <= max(1, max_rows // n_lang))
+    each, order = max(1, max_rows // n_lang), (F.xxhash64("key"), "key")
+    # first within parts of a language, so that a frequent one is not ranked in one task
+    part = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(64))
+    chosen = named.withColumn("place", F.row_number().over(Window.partitionBy("lang", part).orderBy(*order))).where(F.col("place") <= each)
+    chosen = chosen.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("place") <= each)
     chosen = F.broadcast(chosen.select("key").distinct())  # at most max_rows keys
     sample = usable.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).join(chosen, "key")
 
