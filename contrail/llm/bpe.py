@@ -125,6 +125,7 @@ def encode_decode(
             found = [ids[w] for w in mine]
             rows["lengths"].append(_pack(np.array([len(x) // 4 for x in found], np.uint32)))
             rows["ids"].append(_pack(np.frombuffer(b"".join(found), "<u4")))
+        words.forget()
         return pa.table(rows, schema=pa.schema([
             ("block", pa.string()), ("bucket", pa.int32()), ("lengths", pa.binary()), ("ids", pa.binary())
         ]))

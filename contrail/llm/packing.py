@@ -79,6 +79,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: i
                     out["ids_crc32"].append(zlib.crc32(part))
                     out["doc_tokens"].append(total)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.int64()) for c in out]))
+        words.forget()
 
     cuts = source.mapInArrow(cut, "key long, start long, length long, ids_crc32 long, doc_tokens long")
     return cuts.withColumnRenamed("key", key)

@@ -27,6 +27,7 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]+"
 WIDTH = 20
 MIN_BITS = {"entropy_hex": 3.0, "entropy_mixed": 3.7}  # a character, in some window
 SCALE = 1 << 20
+PATTERNS = [ASSIGN, ACCESS[:-1] + f"{{{LEAST['access'] - 4},}}", HEX[:-1] + f"{{{LEAST['hex']},}}", CANDIDATE[:-1] + f"{{{WIDTH},}}"]
 # Allow-list: what looks random but is no secret
 ALLOWED = "|".join([
     r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",  # UUID
@@ -107,9 +108,9 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     items = F.concat(
         _items(t, "assign", ASSIGN, 2, least(LEAST["assign"]), False),
         # a run is found whole, so asking for its least length in the pattern drops the same matches
-        _items(t, "access", ACCESS.replace("+", f"{{{LEAST['access'] - 4},}}"), 0, lambda x: F.lit(True), False),
-        _items(t, "hex", HEX.replace("+", f"{{{LEAST['hex']},}}"), 0, lambda x: F.lit(True), False),
-        _items(t, "candidate", CANDIDATE[:-1] + f"{{{WIDTH},}}", 0, _candidate, True),
+        _items(t, "access", PATTERNS[1], 0, lambda x: F.lit(True), False),
+        _items(t, "hex", PATTERNS[2], 0, lambda x: F.lit(True), False),
+        _items(t, "candidate", PATTERNS[3], 0, _candidate, True),
     )
     rows = _named(docs.select(key, text), key, text)
     rows = rows.select(F.col("_secret_key").alias("key"), F.col("_secret_digest").alias("digest"), F.inline(items))
@@ -155,7 +156,9 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str =
     found = scan(docs, key, text).withColumnRenamed("key", "_secret_key_found").withColumnRenamed("digest", "_secret_digest_found")
     found = found.withColumnRenamed("spans", "_secret_spans")
     same = F.col("_secret_key").eqNullSafe(F.col("_secret_key_found")) & (F.col("_secret_digest") == F.col("_secret_digest_found"))
-    joined = _named(docs, key, text).join(found, same, "left")
+    # only texts that some pattern matches are shuffled to their spans; the others go straight through
+    maybe = F.coalesce(F.col(text).rlike("|".join(PATTERNS)), F.lit(False))
+    joined = _named(docs.where(maybe), key, text).join(found, same, "left")
     start = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -169,4 +172,5 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str =
     columns = {text: F.col("_secret_text")}
     if length:
         columns[length] = F.when(F.col("_secret_spans").isNull(), F.col(length)).otherwise(F.length("_secret_text").cast("long"))
-    return out.select(*[columns.get(c, F.col(c)).alias(c) for c in docs.columns])
+    changed = out.select(*[columns.get(c, F.col(c)).alias(c) for c in docs.columns])
+    return changed.unionByName(docs.where(~maybe))

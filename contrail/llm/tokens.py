@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHED = 900_000  # entries a worker keeps (about 200 MB); when full it starts anew, so memory does not grow with the text
+CACHED = 500_000  # entries a task keeps (about 100 MB); when full it starts anew, so memory does not grow with the text
 PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-įı-ſ]+")  # letters that lower-case to one letter, and printable ASCII
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-zß-öø-ſ0-9]+")
 NO_CACHE_ABOVE = 64  # bytes of a word
@@ -82,6 +82,11 @@ class Words:
                 self.known[word] = found
         return found
 
+    def forget(self) -> None:
+        """At the end of a task: its worker may next run something else that needs the memory."""
+        self.known.clear()
+        self.parts.clear()
+
     def text(self, words: Iterable[bytes]) -> bytes:
         return b"".join(map(self.ids, words))
 
