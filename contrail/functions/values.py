@@ -59,7 +59,7 @@ def canon_city(c: Column | str) -> Column:
     parts = F.split(col(c), ", ")
     runs = F.regexp_extract_all(F.lower(parts[0]), F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
     title = F.array_join(
-        F.transform(runs, lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.substring(run, 2, 1 << 20))), ""
+        F.transform(runs, lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.substring(run, F.lit(2), F.length(run)))), ""
     )
     return F.when(F.size(parts) == 2, F.concat(title, F.lit(", "), F.upper(F.get(parts, F.lit(1))))).otherwise(title)
 

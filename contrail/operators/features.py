@@ -266,5 +266,5 @@ def holiday_flag(df: DataFrame, c: str, holidays: DataFrame) -> DataFrame:
     """1 on a holiday; ``holidays`` has about a dozen rows per year."""
     marks = holidays.select(F.col("holiday").alias("_day"), F.lit(1).alias("is_holiday"))
     keyed = df.withColumn("_day", F.col(c).cast("date"))
-    joined = keyed.join(F.broadcast(marks), "_day", "left").drop("_day")
+    joined = keyed.join(marks, "_day", "left").drop("_day")
     return joined.withColumn("is_holiday", F.coalesce("is_holiday", F.lit(0)))

@@ -19,7 +19,13 @@ class HotKeys:
 
     column: str
     values: tuple = field(default=())
-    salts: int = 32
+    salts: int = 32  # of the largest value
+    each: tuple = field(default=())  # salts of each value; all have ``salts`` where this is empty
+
+    def salts_of(self) -> Column:
+        """Number of salts of a row's key; 1 unless the key is hot."""
+        pairs = [F.lit(x) for v, n in zip(self.values, self.each or [self.salts] * len(self.values)) for x in (v, n)]
+        return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(self.column)), F.lit(1))
 
 
 def find_hot(
@@ -27,8 +33,8 @@ def find_hot(
 ) -> HotKeys:
     """Values of ``column`` holding at least ``share`` of the rows (of ``weight``, on a table of counts).
 
-    By default a value is hot when it holds four times what a shuffle partition should, and there are as many
-    salts as partitions the largest value should fill. One aggregate over a single column; at most ``1 / share``
+    By default a value is hot when it holds four times what a shuffle partition should, and it gets as many salts
+    as partitions it should fill. One aggregate over a single column; at most ``1 / share``
     values reach the driver. Ask once, on the base table, and hand the answer to every later lookup.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -37,19 +43,17 @@ def find_hot(
     total = counts.agg(F.sum("n").alias("n")).scalar()
     hot = counts.where(F.col("n") >= total * F.lit(share)).where(F.col(column).isNotNull())
     found = hot.select(column, (F.col("n") / total).alias("part")).collect()
-    largest = max((float(r["part"]) for r in found), default=0.0)
-    return HotKeys(column, tuple(r[0] for r in found), salts or max(2, math.ceil(largest * partitions)))
+    each = tuple(salts or max(2, math.ceil(float(r["part"]) * partitions)) for r in found)
+    return HotKeys(column, tuple(r[0] for r in found), max(each, default=2), each)
 
 
 def spread(df: DataFrame, hot: HotKeys, out: str = SALT) -> DataFrame:
     """Add the salt of each row: 0 unless its key is hot.
 
-    The salt mixes the row's hash with its input partition, so equal copies of a row are spread too and a
-    retried task salts its rows the same way.
+    The salt counts the rows of an input partition, so no other column is read and equal copies of a row are spread
+    too.
     """
-    is_hot = F.col(hot.column).isin(*hot.values)
-    mixed = F.pmod(F.pmod(F.xxhash64(*df.columns), F.lit(hot.salts)) + F.spark_partition_id(), F.lit(hot.salts)).cast("int")
-    return df.withColumn(out, F.when(is_hot, mixed).otherwise(F.lit(0)))
+    return df.withColumn(out, F.pmod(F.monotonically_increasing_id(), hot.salts_of()).cast("int"))
 
 
 def lookup(
@@ -62,17 +66,18 @@ def lookup(
     """Join ``left`` with ``right``, which must be unique in ``on``; null keys match nothing.
 
     With ``hot`` keys, left rows of a hot value are spread over salts (see ``spread``; a salt column already
-    there is used as it is) and the right rows of just those values are repeated once per salt.
+    there is used as it is) and the right rows of just those values are repeated once per salt. Only a join on the
+    hot column alone is salted: further columns spread its rows already. The repeated side is never broadcast, since
+    the planner does not see how often it is repeated.
     """
     on = list(on)
-    if not hot or not hot.values or hot.column not in on:
+    if not hot or not hot.values or on != [hot.column]:
         return left.join(right, on, how)
     salt = f"{SALT}{hot.column}"
     keep = salt in left.columns
     salted = left if keep else spread(left, hot, salt)
-    is_hot = F.col(hot.column).isin(*hot.values)
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(hot.salts - 1))).otherwise(F.array(F.lit(0)))
-    joined = salted.join(right.withColumn(salt, F.explode(salts)), [*on, salt], how)
+    repeated = right.withColumn(salt, F.explode(F.sequence(F.lit(0), hot.salts_of() - 1)))
+    joined = salted.join(repeated.hint("merge"), [*on, salt], how)
     return joined if keep else joined.drop(salt)
 
 

@@ -182,7 +182,10 @@ def cut_by_hash(
         .agg(F.collect_list("_cut").alias("_cuts"))  # one entry per limit
     )
     if by:
-        marked = rows.join(cuts, by, "left")
+        # null labels are a stratum of their own
+        cuts = cuts.withColumnsRenamed({c: f"_of_{c}" for c in by})
+        same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]
+        marked = rows.join(cuts, same, "left").drop(*[f"_of_{c}" for c in by])
     else:
         marked = rows.withColumn("_cuts", cuts.select("_cuts").scalar())
     has_cut = F.col("_cuts").isNotNull()

@@ -200,11 +200,11 @@ def histogram(df: DataFrame, c: str, bins: int, low: float | None = None, high:
 
 def box_stats(df: DataFrame, c: str, by: str) -> DataFrame:
     """Quartiles, spread and whiskers (furthest values within 1.5 spreads of the box) per class."""
-    q = exact_quantiles(df, [c], [0.25, 0.5, 0.75], by=[by], bounded_by=True)
+    q = exact_quantiles(df, [c], [0.25, 0.5, 0.75], by=[by])
     box = q.groupBy(by).agg(
         *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]
     ).withColumn("iqr", F.col("q3") - F.col("q1"))
-    near = df.join(F.broadcast(box), by).where(  # one row per class
+    near = df.join(box, by).where(
         F.col(c).between(F.col("q1") - 1.5 * F.col("iqr"), F.col("q3") + 1.5 * F.col("iqr"))
     )
     whiskers = near.groupBy(by).agg(F.min(c).alias("whisker_low"), F.max(c).alias("whisker_high"))

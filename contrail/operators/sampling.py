@@ -256,7 +256,8 @@ def smote(
         return own
     if n_min < 2:
         raise ValueError("at least two minority rows are needed")
-    k = min(k, n_min - 1)
+    if n_min <= k:
+        raise ValueError(f"{k} neighbours need more than {k} minority rows, there are {n_min}")
     points = df.where(F.col(label) == minority).select(
         F.col(key).cast("long").alias("id"), F.array(*[F.col(c).cast("double") for c in features]).alias("x")
     )

@@ -46,7 +46,7 @@ def station_regions(df: DataFrame, station: str = "airport_code") -> DataFrame:
     """Add ``region`` of a weather station from the fixed station and census tables."""
     spark = df.sparkSession
     regions = {s: r for r, states in K.CENSUS_REGIONS.items() for s in states}
-    rows = [(code, regions[s]) for s, codes in K.STATION_STATES.items() for code in codes]
+    rows = [(code, regions[state]) for code, state in K.STATION_STATES.items()]
     dim = spark.createDataFrame(rows, f"{station} string, region string")
     return df.join(F.broadcast(dim), station, "left")  # fifty rows
 

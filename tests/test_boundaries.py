@@ -165,6 +165,20 @@ def test_traffic_report(spark, tmp_path):
     assert [tuple(r) for r in out] == [(D(2019, 1, 2), "ATL", 1234.0), (D(2019, 1, 3), "ATL", None)]
 
 
+def test_two_reports_with_their_own_headers(spark, tmp_path):
+    (tmp_path / "a.xls").write_text(
+        "<table><tr><th>x</th><th>x</th><th>Ops</th></tr><tr><th>Date</th><th>Facility</th><th>Total Operations</th></tr>"
+        "<tr><td>01/02/2019</td><td>ATL</td><td>5</td><td>one too many</td></tr>"
+        "<tr><td>01/03/2019</td><td>ATL</td></tr></table>")
+    (tmp_path / "b.xls").write_text(
+        "<table><tr><th>x</th><th colspan=2>Ops</th><th>x</th></tr>"
+        "<tr><th>Facility</th><th>Carrier</th><th>Total Operations</th><th>Date</th></tr>"
+        "<tr><td>BOS</td><td colspan='2'>7</td><td>01/02/2019</td></tr>"
+        "<tr><td>ATL</td><td>1</td><td>6</td><td>01/02/2019</td></tr></table>")
+    out = traffic_report.read_traffic_report(spark, str(tmp_path)).orderBy("date", "airport").collect()
+    assert [tuple(r) for r in out] == [(D(2019, 1, 2), "ATL", 6.0), (D(2019, 1, 2), "BOS", 7.0), (D(2019, 1, 3), "ATL", None)]
+
+
 def test_scores_with_ties_and_single_class(spark):
     df = spark.createDataFrame([(0.9, 1), (0.5, 0), (0.5, 1), (0.5, 0), (0.1, 0)], "s double, y int")
     # thresholds 0.9: P 1, R 1/2; 0.5: P 2/4, R 1

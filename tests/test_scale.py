@@ -34,6 +34,24 @@ def test_salted_lookup_equals_plain(spark, skewed):
     assert len(spread) == 8 and max(r["count"] for r in spread) < 300
 
 
+def test_only_a_join_on_the_hot_column_alone_is_salted(spark, skewed):
+    _, df = skewed
+    hot = lookups.find_hot(df, "key", share=0.2)
+    right = df.groupBy("key", "y").agg(F.avg("x").alias("m"))
+    plan = lookups.lookup(df, right, ["key", "y"], hot)._jdf.queryExecution().toString()
+    assert "_salt_" not in plan
+    one = lookups.lookup(df, df.groupBy("key").agg(F.avg("x").alias("m")), ["key"], hot)
+    assert "Broadcast" not in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_null_labels_are_a_stratum(spark):
+    from contrail.operators.sampling import stratified_split
+
+    df = spark.range(400).withColumn("y", F.when(F.col("id") % 4 > 0, F.col("id") % 2))
+    got = stratified_split(df, "y", {"a": 0.7, "b": 0.3}, ["id"]).groupBy("y", "part").count().collect()
+    assert {(r["y"], r["part"]): r["count"] for r in got}[None, "a"] == 70
+
+
 def test_quantiles_match_numpy(spark, skewed):
     pdf, df = skewed
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
