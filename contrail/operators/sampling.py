@@ -236,7 +236,7 @@ def smote(
 
     Returns (features..., label, synthetic, row_id, base, near, u). Every minority row is the base of ``q`` or ``q + 1``
     synthetic rows; the extra ones, the neighbour and ``u`` come from seeded hashes of its key, so the result does
-    not depend on partitioning. With fewer than ``k + 1`` minority rows the neighbours are all the others.
+    not depend on partitioning. Fewer than ``k + 1`` minority rows are an error if synthetic rows are needed.
     """
     counts = df.groupBy((F.col(label) == minority).alias("m")).count().collect()
     sizes = {r["m"]: r["count"] for r in counts}

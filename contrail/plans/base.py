@@ -20,6 +20,18 @@ YEARS = {"train": [1995, 1996, 1998, 1999], "val": [2000], "test": [2001]}
 YEARS_OUT = [1997]
 CAUSE_YEARS = (1995, 2001)
 
+HOLIDAY_SQL = """
+WITH d AS (SELECT DISTINCT FlightDate AS d, month(FlightDate) AS m, day(FlightDate) AS k, isodow(FlightDate) AS w FROM flights)
+SELECT d AS FlightDate, CASE
+  WHEN (m, k) IN ((1, 1), (7, 4), (11, 11), (12, 25)) THEN 1
+  WHEN w = 5 AND (m, k) IN ((12, 31), (7, 3), (11, 10), (12, 24)) THEN 1
+  WHEN w = 1 AND (m, k) IN ((1, 2), (7, 5), (11, 12), (12, 26)) THEN 1
+  WHEN w = 1 AND m = 1 AND k BETWEEN 15 AND 21 THEN 1
+  WHEN w = 1 AND m = 2 AND k BETWEEN 15 AND 21 THEN 1
+  WHEN w = 1 AND m = 5 AND k >= 25 THEN 1
+  WHEN w = 1 AND m = 9 AND k <= 7 THEN 1
+  WHEN w = 1 AND m = 10 AND k BETWEEN 8 AND 14 THEN 1
+  WHEN w = 4 AND m = 11 AND k BETWEEN 22 AND 28 THEN 1 ELSE 0 END AS is_holiday FROM d"""
 
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
 

@@ -42,12 +42,12 @@ def _(spark, folder):
     return metrics.prediction_counts(metrics.decode(predicted(spark, folder)))
 
 
-def sweep_sql(tas, tbs) -> str:
+def sweep_sql(tas, tbs, rows: str = "scored") -> str:
     a = ", ".join(str(t) for t in tas)
     b = ", ".join(str(t) for t in tbs)
     return f"""
 WITH g AS (SELECT unnest([{a}]) / 100 AS ta), h AS (SELECT unnest([{b}]) / 100 AS tb),
-     p AS (SELECT ta, tb, target, CASE WHEN prob_cancel >= ta THEN 2 WHEN prob_delay >= tb THEN 1 ELSE 0 END AS pred FROM scored, g, h),
+     p AS (SELECT ta, tb, target, CASE WHEN prob_cancel >= ta THEN 2 WHEN prob_delay >= tb THEN 1 ELSE 0 END AS pred FROM {rows}, g, h),
      c AS (SELECT ta, tb, k, count_if(target = k AND pred = k) AS hit, count_if(target = k) AS sup, count_if(pred = k) AS got
            FROM p, (SELECT unnest([0, 1, 2]) AS k) GROUP BY ta, tb, k),
      m AS (SELECT *, CASE WHEN sup + got = 0 THEN NULL ELSE 2 * hit / (sup + got) END AS f1, CASE WHEN sup = 0 THEN 0 ELSE hit / sup END AS r, CASE WHEN got = 0 THEN 0 ELSE hit / got END AS pr FROM c)
@@ -78,16 +78,20 @@ def _(spark, folder):
     return metrics.best_pair(metrics.threshold_sweep(base.scored(spark, folder)))
 
 
+def scored_in(split: str) -> str:
+    return f"(SELECT scored.* FROM scored JOIN splits ON scored.flight_id = splits.flight_id WHERE split = '{split}') AS r"
+
+
 @query("m10_best_vs_default", "model:s thresh_a:f thresh_b:f macro_f1:f", f"""
-WITH s AS ({sweep_sql(*K.TUNED_GRID)} ORDER BY macro_f1 DESC, thresh_a, thresh_b LIMIT 1),
+WITH s AS ({sweep_sql(*K.TUNED_GRID, scored_in('val'))} ORDER BY macro_f1 DESC, thresh_a, thresh_b LIMIT 1),
      t AS (SELECT 'tuned' AS model, thresh_a, thresh_b FROM s UNION ALL SELECT 'default', 0.5, 0.5),
-     p AS (SELECT model, thresh_a, thresh_b, target, CASE WHEN prob_cancel >= thresh_a THEN 2 WHEN prob_delay >= thresh_b THEN 1 ELSE 0 END AS pred FROM scored, t WHERE flight_id % 2 = 0),
+     p AS (SELECT model, thresh_a, thresh_b, target, CASE WHEN prob_cancel >= thresh_a THEN 2 WHEN prob_delay >= thresh_b THEN 1 ELSE 0 END AS pred FROM {scored_in('test')}, t),
      c AS (SELECT model, thresh_a, thresh_b, k, count_if(target = k AND pred = k) AS hit, count_if(target = k) AS sup, count_if(pred = k) AS got
            FROM p, (SELECT unnest([0, 1, 2]) AS k) GROUP BY ALL)
 SELECT model, thresh_a, thresh_b, round(avg(2 * hit / (sup + got)) FILTER (sup + got > 0), 4) AS macro_f1 FROM c GROUP BY model, thresh_a, thresh_b""")
 def _(spark, folder):
-    df = base.scored(spark, folder)
-    return metrics.best_vs_default(df, df.where("flight_id % 2 = 0"))
+    df = base.scored(spark, folder).join(base.splits(spark, folder).select("flight_id", "split"), "flight_id")
+    return metrics.best_vs_default(df.where("split = 'val'"), df.where("split = 'test'"))
 
 
 @query("m11_confusion", "label:i prediction:i n:i share:f", f"""
@@ -415,21 +419,21 @@ def _(spark, folder):
     return jobs.build_features(table, base.YEARS, scope="all", keep=["flight_id"])
 
 
-@query("job3_build_rf_features", "flight_id:i target:i dep_hour:i is_holiday:i is_morning_peak:i is_evening_peak:i has_precip:i prev_day_failure_origin:i dow_sin:f distance_origin_norm:f Distance_std:f tmpf_std:f", """
-WITH m AS (SELECT * FROM merged WHERE yr <> 1997),
+@query("job3_build_rf_features", "flight_id:i target:i dep_hour:i is_holiday:i is_morning_peak:i is_evening_peak:i has_precip:i prev_day_failure_origin:i dow_sin:f distance_origin_norm:f Distance_std:f tmpf_std:f", f"""
+WITH h AS ({base.HOLIDAY_SQL}),
+     m AS (SELECT * FROM merged WHERE yr <> 1997),
      d AS (SELECT Origin, FlightDate, max(greatest(is_cancelled, is_delayed)) AS f FROM m GROUP BY 1, 2),
      p AS (SELECT Origin, FlightDate, coalesce(lag(f) OVER (PARTITION BY Origin ORDER BY FlightDate), 0) AS prev FROM d)
-SELECT flight_id, target, dep_hour,
-       CASE WHEN month(m.FlightDate) = 7 AND day(m.FlightDate) = 4 OR month(m.FlightDate) = 12 AND day(m.FlightDate) = 25 THEN 1 ELSE 0 END AS is_holiday,
+SELECT flight_id, target, dep_hour, is_holiday,
        CASE WHEN dep_hour BETWEEN 6 AND 9 THEN 1 ELSE 0 END AS is_morning_peak, CASE WHEN dep_hour BETWEEN 17 AND 23 THEN 1 ELSE 0 END AS is_evening_peak,
        CASE WHEN coalesce(p01i, 0) > 0 THEN 1 ELSE 0 END AS has_precip, prev AS prev_day_failure_origin, sin(2 * pi() * (isodow(m.FlightDate) - 1) / 7) AS dow_sin,
        Distance - avg(Distance) OVER (PARTITION BY m.Origin) AS distance_origin_norm, (Distance - avg(Distance) OVER ()) / stddev_pop(Distance) OVER () AS Distance_std,
        (tmpf - avg(tmpf) OVER ()) / stddev_pop(tmpf) OVER () AS tmpf_std
-FROM m JOIN p ON m.Origin = p.Origin AND m.FlightDate = p.FlightDate""")
+FROM m JOIN p ON m.Origin = p.Origin AND m.FlightDate = p.FlightDate JOIN h ON m.FlightDate = h.FlightDate""")
 def _(spark, folder):
     from contrail.operators.features import holiday_dates
 
-    days = holiday_dates(spark, 1995, 2001).where("(month(holiday) = 7 and day(holiday) = 4) or (month(holiday) = 12 and day(holiday) = 25)")
+    days = holiday_dates(spark, 1995, 2001)
     merged = materialize(base.merged(spark, folder), "merged")
     return jobs.build_rf_features(merged.drop("is_cancelled", "is_delayed", "is_on_time", "target", "target_name"), days, base.YEARS_OUT)
 
