@@ -140,7 +140,9 @@ def test_synthetic_rows_lie_between_neighbours(spark, skewed):
         assert 0 <= r.u < 1 and r.base != r.near and pdf.loc[r.near, "y"] == 1
         assert np.allclose([r.a, r.b], p + r.u * (q - p))
     few = spark.createDataFrame(pdf[pdf["id"].isin([0, 20, 40]) | (pdf["y"] == 0)])
-    assert sampling.smote(few, ["a", "b"], "y", "id", 0.1, k=5).where("y = 1").count() == 38
+    with pytest.raises(ValueError):
+        sampling.smote(few, ["a", "b"], "y", "id", 0.1, k=5)
+    assert sampling.smote(few, ["a", "b"], "y", "id", 0.1, k=2).where("y = 1").count() == 38
 
 
 def test_spearman_with_heavy_ties(spark, skewed):
@@ -228,3 +230,11 @@ def test_sweep_equals_one_prediction_per_pair(spark, folder):
     for (ta, tb), f1 in sweep.items():
         one = metrics.summary_metrics(metrics.cascade_predict(df, ta, tb)).first()
         assert f1 == pytest.approx(round(one.macro_f1, 4), abs=1e-4)
+
+
+def test_a_cap_on_fitted_rows_does_not_change_the_fills(spark):
+    rows = [(i, float(i) if i % 3 else None, float(i % 7), int(i % 5 == 0), int(i % 5 in (1, 2))) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, is_cancelled int, is_delayed int")
+    settings = {"maxIter": 1, "maxDepth": 2}
+    fit = lambda cap: models.fit_cascade(df, ["a", "b"], "id", None, 10, cap, settings_a=settings, settings_b=settings)
+    assert fit(60).fills == fit(None).fills
