@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.tokens import default_vocabulary, words_of
+from contrail.llm.tokens import default_vocabulary, unload, words_of
 from contrail.session import materialize
 
 CAPACITY = 2048
@@ -79,7 +79,8 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: i
                     out["ids_crc32"].append(zlib.crc32(part))
                     out["doc_tokens"].append(total)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.int64()) for c in out]))
-        words.forget()
+        del words
+        unload()
 
     cuts = source.mapInArrow(cut, "key long, start long, length long, ids_crc32 long, doc_tokens long")
     return cuts.withColumnRenamed("key", key)

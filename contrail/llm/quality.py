@@ -13,13 +13,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contrail.llm.arrays import give_back
 from contrail.session import materialize
 
 # Fixed values of the contract
@@ -81,8 +82,10 @@ def measures(text: Column | str) -> Column:
     names = [x.split()[0] for x in MEASURES.split(", ")]
 
     @F.pandas_udf(MEASURES)
-    def measured(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([measure(x) for x in texts], columns=names, dtype="int64")
+    def measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame([measure(x) for x in texts], columns=names, dtype="int64")
+        give_back()
 
     return measured(text)
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.arrays import expand
+from contrail.llm.arrays import expand, give_back
 from contrail.session import materialize
 
 BITS = 64
@@ -57,8 +57,10 @@ def fingerprint_of(text: Column | str, shingle: int = 3) -> Column:
     """``fingerprint`` as a column."""
 
     @F.pandas_udf("long")
-    def prints(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(x, shingle) for x in texts], dtype="int64")
+    def prints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([fingerprint(x, shingle) for x in texts], dtype="int64")
+        give_back()
 
     return prints(text)
 

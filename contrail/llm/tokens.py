@@ -14,6 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from contrail.llm.arrays import give_back
+
 CACHED = 500_000  # entries a task keeps (about 100 MB); when full it starts anew, so memory does not grow with the text
 PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-įı-ſ]+")  # letters that lower-case to one letter, and printable ASCII
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-zß-öø-ſ0-9]+")
@@ -97,6 +99,13 @@ def words_of(path: str) -> Words:
     return Words(path)
 
 
+def unload() -> None:
+    """At the end of a task that reads many texts: the vocabulary goes too, and is loaded again by the next task."""
+    words_of.cache_clear()
+    _library.cache_clear()
+    give_back()
+
+
 @lru_cache(maxsize=2)
 def pieces(path: str) -> tuple[bytes, ...]:
     """The id-to-piece table: as many rows as the vocabulary has."""
