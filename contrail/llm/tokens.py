@@ -49,13 +49,13 @@ def _letters() -> dict[int, str]:
     return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
 
 
-class Words:
-    """Ids of words, as little-endian unsigned 32-bit numbers; remembers a bounded number of words."""
+class Words(dict):
+    """Ids by word, as little-endian unsigned 32-bit numbers; remembers a bounded number of words."""
 
     def __init__(self, path: str):
+        super().__init__()
         self.library = _library(path)
         self.special = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
-        self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _part(self, part: str) -> bytes:
@@ -74,23 +74,21 @@ class Words:
             return b"".join(map(self._part, PARTS.findall(text.lower())))
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def ids(self, word: bytes) -> bytes:
-        found = self.known.get(word)
-        if found is None:
-            found = self._word(word)
-            if len(word) <= NO_CACHE_ABOVE:
-                if len(self.known) >= CACHED:
-                    self.known.clear()
-                self.known[word] = found
+    def __missing__(self, word: bytes) -> bytes:
+        found = self._word(word)
+        if len(word) <= NO_CACHE_ABOVE:
+            if len(self) >= CACHED:
+                self.clear()
+            self[word] = found
         return found
 
     def forget(self) -> None:
         """At the end of a task: its worker may next run something else that needs the memory."""
-        self.known.clear()
+        self.clear()
         self.parts.clear()
 
     def text(self, words: Iterable[bytes]) -> bytes:
-        return b"".join(map(self.ids, words))
+        return b"".join(map(self.__getitem__, words))
 
 
 @lru_cache(maxsize=2)
