@@ -53,8 +53,11 @@ class _Block:
         self.sizes.append(len(words))
         self.bytes += len(text)
 
-    def finish(self, buckets: int) -> tuple[str, list[list[bytes]], np.ndarray, np.ndarray]:
-        """Name of the block, its words by bucket, the documents' codes (frequent words first), the words' places."""
+    def finish(self, keys: list, buckets: int) -> tuple[str, list[list[bytes]], np.ndarray, np.ndarray]:
+        """Name of the block, its words by bucket, the documents' codes (frequent words first), the words' places.
+
+        The keys are part of the name, so that equal texts under different keys are blocks of their own.
+        """
         words = sorted(self.place)
         by = sorted(range(len(words)), key=lambda i: zlib.crc32(words[i]) % buckets)  # stable
         of = [[] for _ in range(buckets)]
@@ -67,7 +70,7 @@ class _Block:
         rank = np.empty(len(words), np.int64)
         rank[often] = np.arange(len(words))
         codes = rank[codes] if len(codes) else codes
-        name = hashlib.sha256(b" ".join(words) + codes.tobytes() + np.array(self.sizes, np.int64).tobytes())
+        name = hashlib.sha256(b" ".join(words) + codes.tobytes() + np.array(self.sizes, np.int64).tobytes() + repr(keys).encode())
         return name.hexdigest(), of, codes, place[often]
 
 
@@ -97,8 +100,8 @@ def encode_decode(
             yield keys, block
 
     def dictionaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, block in blocks(batches):
-            name, words, _, _ = block.finish(buckets)
+        for keys, block in blocks(batches):
+            name, words, _, _ = block.finish(keys, buckets)
             some = [i for i, w in enumerate(words) if w]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name] * len(some)), pa.array(some, pa.int32()), pa.array([b" ".join(words[i]) for i in some], pa.binary())],
@@ -107,7 +110,7 @@ def encode_decode(
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, block in blocks(batches):
-            name, _, codes, places = block.finish(buckets)
+            name, _, codes, places = block.finish(keys, buckets)
             yield pa.RecordBatch.from_arrays([
                 pa.array([name]), pa.array([keys], pa.list_(pa.int64())), pa.array([block.sizes], pa.list_(pa.int64())),
                 pa.array([_pack(codes)], pa.binary()), pa.array([_pack(places)], pa.binary()),
@@ -132,7 +135,8 @@ def encode_decode(
 
     def join(coded: pa.Table, found: pa.Table) -> pa.Table:
         schema = pa.schema([("key", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
-        order = np.argsort(found.column("bucket").to_numpy(), kind="stable")
+        # equal blocks send equal dictionaries: one answer of each bucket is enough
+        order = np.unique(found.column("bucket").to_numpy(), return_index=True)[1]
         lengths = [_unpack(found.column("lengths")[i].as_py()) for i in order]
         ids = [_unpack(found.column("ids")[i].as_py()) for i in order]
         lengths = np.concatenate(lengths).astype(np.int64) if lengths else np.zeros(0, np.int64)

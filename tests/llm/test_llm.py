@@ -154,6 +154,16 @@ def test_bpe_is_the_library(spark, docs):
     assert bpe.encode_decode(empty(spark)).count() == 0
 
 
+def test_bpe_of_equal_blocks(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", 8)
+    rows = [(1, "the same words"), (1, "the same words"), (2, "the same words"), (3, None), (None, "the same words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (df.coalesce(1), df.repartition(5), df.limit(1).unionByName(df.limit(1))):  # neighbours, and partitions with equal texts
+        got = bpe.encode_decode(parts).collect()
+        assert sorted(str(r.doc_id) for r in got) == sorted(str(r.doc_id) for r in parts.collect())
+        assert len({r.decoded for r in got if r.doc_id != 3}) == len({bytes(r.ids) for r in got if r.doc_id != 3}) == 1
+
+
 # 4 quality
 
 
