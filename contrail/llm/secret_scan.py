@@ -3,7 +3,8 @@
 Base patterns are found by the JVM's regular expressions; a match's place is the sum of the lengths of what was split off
 and matched before it. On top, long strings of one character class are judged by the Shannon entropy of a sliding
 window. Its counts are incremental: when a character enters or leaves, only its own term c * log2(c) changes, by an
-amount that its count in the window gives. Sums are of scaled integers, so they are exact.
+amount that its count in the window gives. Sums are of scaled integers, so they are exact. In strings shaped like a path
+a window must also change between small letters, capitals and digits as often as random characters do, which words do not.
 """
 
 from __future__ import annotations
@@ -26,16 +27,18 @@ KINDS = ["assign", "access", "hex", "entropy_hex", "entropy_mixed"]
 CANDIDATE = r"[A-Za-z0-9+/_=-]+"
 WIDTH = 20
 MIN_BITS = {"entropy_hex": 3.0, "entropy_mixed": 3.7}  # a character, in some window
+MIN_TURNS = 7  # of a window in what is shaped like a path
 SCALE = 1 << 20
 PATTERNS = [ASSIGN, ACCESS[:-1] + f"{{{LEAST['access'] - 4},}}", HEX[:-1] + f"{{{LEAST['hex']},}}", CANDIDATE[:-1] + f"{{{WIDTH},}}"]
 # Allow-list: what looks random but is no secret
-ALLOWED = "|".join([
+NEVER = "|".join([
     r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",  # UUID
     r"^[0-9+/_=-]+$",  # numbers, dates
     r"(?i)example|sample|placeholder|dummy|x{6}|0123456789|abcdefghij",
-    r"^(.{1,4})\1{4,}",  # one short string again and again
-    r"(/[A-Za-z0-9_.-]*){3}",  # a path
+    r"^(.{1,4})\1{4,}.{0,3}$",  # nothing but one short string again and again
 ])
+PATH = r"(/[A-Za-z0-9_.-]*){3}"  # shaped like a path; random base64 can be, too, so only its windows decide
+ALLOWED = f"{NEVER}|{PATH}"
 ALLOWED_BEFORE = r"(?i)(sha-?(1|224|256|384|512)|md5|integrity|digest|checksum|commit)\W{0,3}$"
 
 
@@ -60,7 +63,7 @@ def _items(text: Column, kind: str, pattern: str, group: int, keep, extra) -> Co
 def _candidate(x: Column) -> Column:
     long = F.length(x["found"]) >= WIDTH
     letters = x["found"].rlike("[A-Za-z]") & x["found"].rlike("[0-9]")
-    return long & letters & ~x["found"].rlike(ALLOWED) & ~x["before"].rlike(ALLOWED_BEFORE)
+    return long & letters & ~x["found"].rlike(NEVER) & ~x["before"].rlike(ALLOWED_BEFORE)
 
 
 def _term(c: Column) -> Column:
@@ -69,26 +72,35 @@ def _term(c: Column) -> Column:
     return F.array(*[F.lit(t).cast("long") for t in table])[c.cast("int")]
 
 
+def _turn(c: Column, before: Column) -> Column:
+    """1 where a run of small letters, capitals or digits begins; a capital and small letters after it are one run."""
+    kind = lambda x: F.when(x.between("a", "z"), 1).when(x.between("A", "Z"), 2).when(x.between("0", "9"), 3).otherwise(0)
+    return ((kind(c) > 0) & (kind(c) != kind(before)) & ~((kind(c) == 1) & (kind(before) == 2))).cast("int")
+
+
 def _entropy_spans(candidates: DataFrame) -> DataFrame:
     """Rows (row id, kind, start, end) for candidates (row id, start, value) with a window of high entropy.
 
-    The span goes from the first such window to the end of the last.
+    The span goes from the first such window to the end of the last. Windows of a path must have ``MIN_TURNS``, too.
     """
     kind = F.when(F.col("value").rlike("^[0-9a-fA-F]+$"), "entropy_hex").otherwise("entropy_mixed")
-    chars = candidates.select("key", "digest", "start", kind.alias("kind"), F.posexplode(F.split("value", "")).alias("p", "c"))
-    chars = chars.where("c <> ''")
-    one = ["key", "digest", "start", "kind"]
+    each = F.arrays_zip(F.split("value", "").alias("c"), F.split(F.concat(F.lit(" "), "value"), "").alias("before"))
+    path = F.col("value").rlike(PATH)
+    chars = candidates.select("key", "digest", "start", kind.alias("kind"), path.alias("path"), F.posexplode(each).alias("p", "x"))
+    chars = chars.select("*", "x.c", _turn(F.col("x.c"), F.col("x.before")).alias("turn")).where("c <> ''")
+    one = ["key", "digest", "start", "kind", "path"]
     same = Window.partitionBy(*one, "c").orderBy("p")
     entering = F.count("*").over(same.rangeBetween(-(WIDTH - 1), 0))
     leaving = F.count("*").over(same.rangeBetween(0, WIDTH - 1))
-    steps = chars.select(*one, "p", (_term(entering) - _term(entering - 1)).alias("up"), (_term(leaving) - _term(leaving - 1)).alias("down"))
+    steps = chars.select(*one, "p", "turn", (_term(entering) - _term(entering - 1)).alias("up"), (_term(leaving) - _term(leaving - 1)).alias("down"))
     along = Window.partitionBy(*one).orderBy("p")
     up = F.sum("up").over(along.rowsBetween(Window.unboundedPreceding, 0))
     down = F.coalesce(F.sum("down").over(along.rowsBetween(Window.unboundedPreceding, -WIDTH)), F.lit(0))
-    sums = steps.select(*one, "p", (up - down).alias("s")).where(F.col("p") >= WIDTH - 1)
+    turns = F.sum("turn").over(along.rowsBetween(-(WIDTH - 1), 0))
+    sums = steps.select(*one, "p", (up - down).alias("s"), turns.alias("turns")).where(F.col("p") >= WIDTH - 1)
     most = {k: round(WIDTH * (math.log2(WIDTH) - bits) * SCALE) for k, bits in MIN_BITS.items()}
     limit = F.when(F.col("kind") == "entropy_hex", F.lit(most["entropy_hex"])).otherwise(F.lit(most["entropy_mixed"]))
-    spans = sums.where(F.col("s") <= limit).groupBy(*one).agg(F.min("p").alias("a"), F.max("p").alias("b"))
+    spans = sums.where((F.col("s") <= limit) & (~F.col("path") | (F.col("turns") >= MIN_TURNS))).groupBy(*one).agg(F.min("p").alias("a"), F.max("p").alias("b"))
     return spans.select("key", "digest", "kind", (F.col("start") + F.col("a") - (WIDTH - 1)).alias("start"), (F.col("start") + F.col("b") + 1).alias("end"))
 
 
