@@ -135,6 +135,32 @@ def test_one_of_each(spark):
     assert simhash.one_of_each(empty(spark)).count() == 0
 
 
+def test_near_texts_are_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = []
+    for g in range(12):
+        base = [f"w{rng.randrange(400)}" for _ in range(120)]
+        for _ in range(8):
+            copy = list(base)
+            for _ in range(rng.choice((0, 1, 1, 2, 3, 6))):
+                copy[rng.randrange(len(copy))] = f"n{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(len(rows) + i, t) for i, t in enumerate([None, "", "two words", "Two  words", "a b c d e", "a b c d e f"])]
+    sets = [{tuple((t or "").lower().split()[i : i + 5]) for i in range(max(1, len((t or "").split()) - 4))} - {()} for _, t in rows]
+    prints = [plain_fingerprint(t) for _, t in rows]
+    near = lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2 or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) > 0
+    label, changed = list(range(len(rows))), True
+    while changed:
+        least = [min(label[b] for b in range(len(rows)) if b == a or near(a, b)) for a in range(len(rows))]
+        changed, label = least != label, least
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, df, None).collect()) == sorted(set(label))
+    narrow = {r.component_id for r in simhash.near_duplicates(df).collect()}
+    assert len(set(label)) < len(narrow)  # fingerprints alone leave more
+
+
 # 3 tokens
 
 
