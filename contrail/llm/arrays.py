@@ -6,6 +6,7 @@ import ctypes
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 LAST_ID = np.iinfo(np.int64).max  # stands for a missing id: such a row comes after all others
 
@@ -29,6 +30,30 @@ def give_back() -> None:
         trim(0)
 
 
+def squeeze(x: np.ndarray) -> bytes:
+    """Numbers, compressed byte by byte: the high bytes of small ones are all zero. ``unsqueeze`` takes them back."""
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T
+    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
+
+
+def unsqueeze(blob: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, in order, and how often it occurs (or the sum of its ``counts``)."""
+    if not len(keys):
+        return keys, np.zeros(0, np.int64)
+    if counts is None:
+        keys = np.sort(keys)
+    else:
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.diff(np.append(first, len(keys))) if counts is None else np.add.reduceat(counts, first)
+
+
 def runs(changed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First place and length of each run, given a mask that is true where a run begins."""
     first = np.flatnonzero(changed)

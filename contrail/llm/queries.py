@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import ann, bpe, chat, langid, licences, packing, quality, secret_scan, simhash, suffixes
+from contrail.llm import ann, bpe, chat, context_tree, langid, licences, packing, quality, secret_scan, simhash, suffixes, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -105,6 +105,16 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
+@query
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@query
+def op13_context_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return context_tree.score_texts(table(spark, folder, "documents"))
+
+
 SQL["op10_chat_formatting"] = f"""
 WITH m AS (
   SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text
