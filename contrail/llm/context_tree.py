@@ -34,10 +34,10 @@ from contrail.session import materialize
 
 DEPTH = 6  # bytes of context
 ROOTS = 2  # depth at which the subtrees of buckets begin
-BLOCK_BYTES = 16 << 20  # text of a block; one longer text is a block of its own
+BLOCK_BYTES = 12 << 20  # text of a block; one longer text is a block of its own
 BUCKET_BYTES = 24 << 20  # text for which there is a bucket
 ROW_BYTES = 8 << 20  # of requests that are answered together
-PART = 4 << 20  # places of a block that are looked at together
+PART = 2 << 20  # places of a block that are looked at together
 END = b"\n"  # ends each text, and stands for what is before it; no word holds it
 EXACT = np.array([math.lgamma(i / 2) if i else 0.0 for i in range(8193)])
 

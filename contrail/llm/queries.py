@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import ann, bpe, chat, context_tree, langid, licences, packing, quality, secret_scan, simhash, suffixes, whitening
+from contrail.llm import alignment, ann, bpe, chat, context_tree, langid, licences, packing, quality, secret_scan, simhash, suffixes, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -105,6 +105,11 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
+@query
+def op11_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_texts(table(spark, folder, "documents"))
+
+
 @query
 def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
