@@ -34,11 +34,10 @@ PATTERNS = [ASSIGN, ACCESS[:-1] + f"{{{LEAST['access'] - 4},}}", HEX[:-1] + f"{{
 NEVER = "|".join([
     r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",  # UUID
     r"^[0-9+/_=-]+$",  # numbers, dates
-    r"(?i)example|sample|placeholder|dummy|x{6}|0123456789|abcdefghij",
     r"^(.{1,4})\1{4,}.{0,3}$",  # nothing but one short string again and again
 ])
+WORDS = {"example": 7, "sample": 6, "placeholder": 11, "dummy": 5, "x{6}": 6, "0123456789": 10, "abcdefghij": 10}  # no window may hold one; with lengths
 PATH = r"(/[A-Za-z0-9_.-]*){3}"  # shaped like a path; random base64 can be, too, so only its windows decide
-ALLOWED = f"{NEVER}|{PATH}"
 ALLOWED_BEFORE = r"(?i)(sha-?(1|224|256|384|512)|md5|integrity|digest|checksum|commit)\W{0,3}$"
 
 
@@ -53,10 +52,11 @@ def _items(text: Column, kind: str, pattern: str, group: int, keep, extra) -> Co
         kept = keep(x)
         return F.struct(
             F.lit(kind).alias("kind"), i.alias("i"), F.length(x["before"]).alias("skip"), F.length(x["found"]).alias("length"),
-            kept.alias("kept"), F.when(kept & F.lit(extra), x["value"]).alias("value"))
+            kept.alias("kept"), *[F.when(kept & F.lit(extra), v).alias(n) for n, v in (
+                ("value", x["value"]), ("hexadecimal", x["value"].rlike("^[0-9a-fA-F]+$")), ("path", x["value"].rlike(PATH)))])
 
     items = F.transform(F.filter(rows, lambda x: x["found"].isNotNull()), one)
-    none = F.array().cast("array<struct<kind:string,i:int,skip:int,length:int,kept:boolean,value:string>>")
+    none = F.array().cast("array<struct<kind:string,i:int,skip:int,length:int,kept:boolean,value:string,hexadecimal:boolean,path:boolean>>")
     return F.when(text.rlike(pattern), items).otherwise(none)  # one look decides whether the text is taken apart
 
 
@@ -79,25 +79,30 @@ def _turn(c: Column, before: Column) -> Column:
 
 
 def _entropy_spans(candidates: DataFrame) -> DataFrame:
-    """Rows (row id, kind, start, end) for candidates (row id, start, value) with a window of high entropy.
+    """Rows (row id, kind, start, end) for stored candidates (row id, start, value, hexadecimal, path) with a window of high entropy.
 
-    The span goes from the first such window to the end of the last. Windows of a path must have ``MIN_TURNS``, too.
+    The span goes from the first such window to the end of the last. A window must not touch an allow-listed word; windows of a
+    path must have ``MIN_TURNS``, too. What looks at a whole value is stored with it: beside an explode it would run for each character.
     """
-    kind = F.when(F.col("value").rlike("^[0-9a-fA-F]+$"), "entropy_hex").otherwise("entropy_mixed")
-    each = F.arrays_zip(F.split("value", "").alias("c"), F.split(F.concat(F.lit(" "), "value"), "").alias("before"))
-    path = F.col("value").rlike(PATH)
-    chars = candidates.select("key", "digest", "start", kind.alias("kind"), path.alias("path"), F.posexplode(each).alias("p", "x"))
-    chars = chars.select("*", "x.c", _turn(F.col("x.c"), F.col("x.before")).alias("turn")).where("c <> ''")
+    kind = F.when(F.col("hexadecimal"), "entropy_hex").otherwise("entropy_mixed")
+    masked = F.col("value")
+    for word, length in WORDS.items():
+        masked = F.regexp_replace(masked, f"(?i){word}", " " * length)
+    each = F.arrays_zip(F.split("value", "").alias("c"), F.split(F.concat(F.lit(" "), "value"), "").alias("before"), F.split(masked, "").alias("shown"))
+    chars = candidates.select("key", "digest", "start", kind.alias("kind"), "path", F.posexplode(each).alias("p", "x"))
+    allowed = (F.col("x.shown") == " ").cast("int")
+    chars = chars.select("*", "x.c", _turn(F.col("x.c"), F.col("x.before")).alias("turn"), allowed.alias("allowed")).where("c <> ''")
     one = ["key", "digest", "start", "kind", "path"]
     same = Window.partitionBy(*one, "c").orderBy("p")
     entering = F.count("*").over(same.rangeBetween(-(WIDTH - 1), 0))
     leaving = F.count("*").over(same.rangeBetween(0, WIDTH - 1))
-    steps = chars.select(*one, "p", "turn", (_term(entering) - _term(entering - 1)).alias("up"), (_term(leaving) - _term(leaving - 1)).alias("down"))
+    steps = chars.select(*one, "p", "turn", "allowed", (_term(entering) - _term(entering - 1)).alias("up"), (_term(leaving) - _term(leaving - 1)).alias("down"))
     along = Window.partitionBy(*one).orderBy("p")
     up = F.sum("up").over(along.rowsBetween(Window.unboundedPreceding, 0))
     down = F.coalesce(F.sum("down").over(along.rowsBetween(Window.unboundedPreceding, -WIDTH)), F.lit(0))
     turns = F.sum("turn").over(along.rowsBetween(-(WIDTH - 1), 0))
-    sums = steps.select(*one, "p", (up - down).alias("s"), turns.alias("turns")).where(F.col("p") >= WIDTH - 1)
+    words = F.sum("allowed").over(along.rowsBetween(-(WIDTH - 1), 0))
+    sums = steps.select(*one, "p", (up - down).alias("s"), turns.alias("turns"), words.alias("words")).where((F.col("p") >= WIDTH - 1) & (F.col("words") == 0))
     most = {k: round(WIDTH * (math.log2(WIDTH) - bits) * SCALE) for k, bits in MIN_BITS.items()}
     limit = F.when(F.col("kind") == "entropy_hex", F.lit(most["entropy_hex"])).otherwise(F.lit(most["entropy_mixed"]))
     spans = sums.where((F.col("s") <= limit) & (~F.col("path") | (F.col("turns") >= MIN_TURNS))).groupBy(*one).agg(F.min("p").alias("a"), F.max("p").alias("b"))
@@ -129,9 +134,9 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     rows = materialize(rows.distinct(), "secret-items")
     along = Window.partitionBy("key", "digest", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("skip") + F.col("length")).over(along)
-    placed = rows.select("key", "digest", "kind", (end - F.col("length")).alias("start"), end.alias("end"), "kept", "value").where("kept")
+    placed = rows.select("key", "digest", "kind", (end - F.col("length")).alias("start"), end.alias("end"), "kept", "value", "hexadecimal", "path").where("kept")
     base = placed.where("kind <> 'candidate'").select("key", "digest", "kind", "start", "end")
-    found = base.unionByName(_entropy_spans(placed.where("kind = 'candidate'").select("key", "digest", "start", "value")))
+    found = base.unionByName(_entropy_spans(placed.where("kind = 'candidate'").select("key", "digest", "start", "value", "hexadecimal", "path")))
     number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     span = F.struct(F.col("start").cast("long").alias("start"), number.cast("int").alias("place"), "kind", F.col("end").cast("long").alias("end"))
     return found.groupBy("key", "digest").agg(F.array_sort(F.collect_list(span)).alias("spans"))

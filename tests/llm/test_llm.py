@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from contrail.llm import ann, bpe, chat, langid, licences, packing, queries, quality, secret_scan, simhash, suffixes, tokens
+from contrail.llm import ann, bpe, chat, langid, licences, near_texts, packing, queries, quality, secret_scan, simhash, suffixes, tokens
 from contrail.llm.arrays import multikey_order
 
 PROSE = "the quick brown fox jumps over the lazy dog and then runs far away from all of the other animals here "
@@ -135,7 +135,28 @@ def test_one_of_each(spark):
     assert simhash.one_of_each(empty(spark)).count() == 0
 
 
-def test_near_texts_are_brute_force(spark):
+def plain_groups(rows):
+    """Smallest key of the group of each key: fingerprints 2 bits apart, or a Jaccard similarity of 0.8 on five-word shingles."""
+    sets = {}
+    for d, t in rows:
+        words = (t or "").encode().lower().split()
+        sets[d] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} - {()}
+    prints = {d: plain_fingerprint(t) for d, t in rows}
+    near = lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2 or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) > 0
+    label, links = {d: d for d in prints}, [(a, b) for a in prints for b in prints if a < b and near(a, b)]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            changed |= label[a] != label[b]
+            label[a] = label[b] = min(label[a], label[b])
+    return label
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_near_texts_are_brute_force(spark, rounds, monkeypatch):
+    monkeypatch.setattr(near_texts, "ROUNDS", rounds)
+    monkeypatch.setattr(near_texts, "GROUP", 3)
     import random
 
     rng = random.Random(3)
@@ -148,17 +169,40 @@ def test_near_texts_are_brute_force(spark):
                 copy[rng.randrange(len(copy))] = f"n{rng.randrange(10**6)}"
             rows.append((len(rows), " ".join(copy)))
     rows += [(len(rows) + i, t) for i, t in enumerate([None, "", "two words", "Two  words", "a b c d e", "a b c d e f"])]
-    sets = [{tuple((t or "").lower().split()[i : i + 5]) for i in range(max(1, len((t or "").split()) - 4))} - {()} for _, t in rows]
-    prints = [plain_fingerprint(t) for _, t in rows]
-    near = lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2 or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) > 0
-    label, changed = list(range(len(rows))), True
-    while changed:
-        least = [min(label[b] for b in range(len(rows)) if b == a or near(a, b)) for a in range(len(rows))]
-        changed, label = least != label, least
+    label = plain_groups(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, df, None).collect()) == sorted(set(label))
+    assert sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, df, None).collect()) == sorted(set(label.values()))
     narrow = {r.component_id for r in simhash.near_duplicates(df).collect()}
-    assert len(set(label)) < len(narrow)  # fingerprints alone leave more
+    assert len(set(label.values())) < len(narrow)  # fingerprints alone leave more
+
+
+def test_near_texts_of_odd_rows(spark):
+    for df in (odd(spark), odd(spark).unionByName(odd(spark))):
+        rows = [(r.doc_id, r.text) for r in df.collect()]
+        groups = plain_groups([r for r in rows if r[0] is not None])
+        kept = near_texts.one_of_each(df)
+        assert kept.columns == df.columns
+        # the text without a key is a copy of one that has a key
+        assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(set(groups.values()))
+        assert kept.where("doc_id is null").count() == sum(d is None for d, _ in rows)
+    assert near_texts.one_of_each(empty(spark)).count() == 0
+    assert near_texts.one_of_each(odd(spark).where("doc_id is null")).count() == 1
+
+
+def test_stock_sentences_stay_apart(spark, monkeypatch):
+    """Texts of sentences that many share, none alike: the rows that tasks compare grow no faster than the texts."""
+    import random
+
+    rng, counted = random.Random(8), []
+    stock = [" ".join(f"s{i}w{j}" for j in range(12)) + "." for i in range(60)]
+    real = near_texts._pairs_apart
+    monkeypatch.setattr(near_texts, "_pairs_apart", lambda rows, prints: (counted.append(rows.count()), real(rows, prints))[1])
+    monkeypatch.setattr(near_texts, "ROUNDS", 0)
+    for n in (200, 400):
+        df = spark.createDataFrame([(i, " ".join(rng.sample(stock, 12) + [f"own{i}"])) for i in range(n)], "doc_id long, text string")
+        kept = near_texts.one_of_each(df)
+        assert kept.count() == len(set(plain_groups([(r.doc_id, r.text) for r in df.collect()]).values()))
+    assert counted[0] <= 200 * 31 and counted[1] <= 400 * 31  # a fifth of a text's shingles at most
 
 
 # 3 tokens
@@ -419,11 +463,14 @@ def plain_spans(text):
                 out.append((m.start(), place, kind, m.end()))
     for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
         value = m.group()
-        if not (re.search("[A-Za-z]", value) and re.search("[0-9]", value)) or re.search(secret_scan.ALLOWED.replace("(?i)", "").replace("x{6}", "[xX]{6}"), value):
+        if not (re.search("[A-Za-z]", value) and re.search("[0-9]", value)) or re.search(f"{secret_scan.NEVER}|{secret_scan.PATH}", value):
             continue
+        shown = value
+        for word in secret_scan.WORDS:
+            shown = re.sub(word, lambda m: " " * len(m.group()), shown, flags=re.I)
         kind = "entropy_hex" if re.fullmatch("[0-9a-fA-F]+", value) else "entropy_mixed"
         bits = [-sum(c / 20 * math.log2(c / 20) for c in Counter(value[i : i + 20]).values()) for i in range(len(value) - 19)]
-        hot = [i for i, b in enumerate(bits) if b >= secret_scan.MIN_BITS[kind] - 1e-9]
+        hot = [i for i, b in enumerate(bits) if b >= secret_scan.MIN_BITS[kind] - 1e-9 and " " not in shown[i : i + 20]]
         if hot:
             out.append((m.start() + hot[0], 4 if kind == "entropy_hex" else 5, kind, m.start() + hot[-1] + 20))
     return sorted(out)
@@ -474,6 +521,21 @@ def test_secrets_shaped_like_paths(spark):
     assert all("[secret]" in r.text for r in secret_scan.redact(df).where(F.col("doc_id").between(len(keys), len(texts) - 1)).collect())
 
 
+def test_a_very_long_token_and_allowed_words(spark):
+    import random
+    import time
+
+    rng, letters = random.Random(6), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    rows = [(1, "see " + key(1_000_000) + " end", None, None), (2, "use sample_" + key(40), None, None), (3, "use sample_key_example_dummy", None, None),
+            (4, "https://hooks/example/services/T0/B0/" + "Zk3pQ9xLw7RtYb2NcV5mHs8D", None, None), (5, "AKIA-EXAMPLE0123456789abcdefghijXXXXXX", None, None)]
+    start = time.time()
+    found = {r.doc_id: [(s["kind"], s["start"], s["end"]) for s in r.spans if s["kind"].startswith("entropy")] for r in secret_scan.find_secrets(odd(spark, rows)).collect()}
+    assert found[1] == [("entropy_mixed", 4, 1_000_004)] and time.time() - start < 60
+    assert found[2] == [("entropy_mixed", 10, 51)] or found[2] == [("entropy_mixed", 11, 51)]
+    assert found[4] and found[4][0][2] == len(rows[3][1]) and found[3] == found[5] == []
+
+
 def test_secret_scan_has_no_python(spark, folder):
     plan = queries.QUERIES["op9_secret_scan"](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -522,9 +584,9 @@ def test_pipeline_is_brute_force(spark, folder, docs):
     kept = {r.doc_id for r in quality.judge(docs, labels).where("kept").collect()}
     frame = stage["quality_rules"](spark, frame, folder)
     assert {r.doc_id for r in frame.collect()} == kept
-    groups = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame).collect()}
+    groups = plain_groups([(r.doc_id, r.text) for r in frame.collect()])
     frame = stage["simhash_near_dedup"](spark, frame, folder)
-    assert sorted(r.doc_id for r in frame.collect()) == sorted({g for g in groups.values()})
+    assert sorted(r.doc_id for r in frame.collect()) == sorted(set(groups.values()))
     want = {d: b.decode("utf-8", "ignore") for d, b, _ in brute_repeats([(r.doc_id, r.text) for r in frame.collect()])}
     frame = stage["suffix_dedup"](spark, frame, folder)
     assert {r.doc_id: r.text for r in frame.collect()} == {d: t for d, t in want.items() if t}
