@@ -10,13 +10,13 @@ and a fingerprint has at most 2,080 others within two bits, so no group of near
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm.arrays import expand, give_back
@@ -26,10 +26,6 @@ BITS = 64
 STEP = 8  # bits that one distributed level goes down
 LEAF = 4096  # fingerprints below a node that a task takes as they are
 SEED = 42
-WIDE = 5  # words of a shingle of the join of texts
-SAMPLE = 4_000  # texts in which frequent shingles are looked for
-LATE = 50_000  # frequent shingles that come last in the order
-ROUNDS = 4  # in which texts meet one member of their group, before pairs
 BATCH = 1 << 16  # hashes counted at a time, so that a very long text needs no more memory
 
 
@@ -201,26 +197,21 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
         step += 1
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", budget: int = 2, shingle: int = 3, texts: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", budget: int = 2, shingle: int = 3) -> DataFrame:
     """Rows (key, fingerprint as 16 hex digits, component_id, n_links) for every row of ``docs``.
 
     ``component_id`` is the smallest key that can be reached over fingerprints at most ``budget`` bits apart, the
     row's own included; ``n_links`` counts the other fingerprints within the budget. Null and empty texts have
     fingerprint zero, which links like any other. Repeated rows come out as often as they came in. A null key takes
     part, but never names a group; a group with null keys alone has a null ``component_id``. An empty table gives an
-    empty table. With ``texts``, groups are also joined by the links of ``near_texts``, which ``n_links`` leaves out.
+    empty table.
     """
-    prints = docs.select(F.col(key).alias("key"), fingerprint_of(text, shingle).alias("fp"), *[F.xxhash64(text).alias("name")] * texts)
+    prints = docs.select(F.col(key).alias("key"), fingerprint_of(text, shingle).alias("fp"))
     prints = materialize(prints, "fingerprints")
     distinct = materialize(prints.groupBy("fp").agg(F.min("key").alias("first")), "distinct-fingerprints")
     links = materialize(near_fingerprints(distinct.select("fp"), budget), "fingerprint-links")
     ends = links.select(F.explode(F.array("left", "right")).alias("fp")).groupBy("fp").agg(F.count("*").alias("n_links"))
-    every = links
-    if texts:
-        named = docs.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("name"), F.col(text).alias("text"))
-        names = materialize(prints.groupBy("name").agg(F.min("fp").alias("fp")), "text-names")
-        every = links.unionByName(near_texts(named, names, links))
-    groups = components(every)
+    groups = components(links)
     members = distinct.join(groups.withColumnRenamed("node", "fp"), "fp")
     smallest = members.groupBy("component").agg(F.min("first").alias("smallest"))
     linked = members.join(smallest, "component").select("fp", "smallest").join(ends, "fp", "left")
@@ -234,133 +225,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bu
     )
 
 
-def shingle_set(text: str | None, shingle: int = WIDE) -> set[bytes]:
-    """The text's shingles, cut as for ``fingerprint``; none for a null text or one without words."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    size = min(shingle, len(words))
-    return set(map(b" ".join, zip(*(words[i:] for i in range(size)))))
-
-
-def alike(a: set[bytes], b: set[bytes]) -> bool:
-    """Whether the Jaccard similarity is 0.8 or more."""
-    both = len(a & b)
-    return both > 0 and 5 * both >= 4 * (len(a) + len(b) - both)
-
-
-def _hashes(shingles: set[bytes]) -> np.ndarray:
-    return np.unique(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), np.uint64, len(shingles)).view(np.int64))
-
-
-def _rows_by_shingle(docs: DataFrame, first: bool, late: np.ndarray | None = None) -> DataFrame:
-    """Rows (shingle, n, name) for docs (name, text); ``first``: those before a text's last 80 %, ``late`` ones last.
-
-    Two sets with four fifths of their union in common share one of these, whatever the order that all texts follow.
-    """
-    schema = pa.schema([("shingle", pa.int64()), ("n", pa.int32()), ("name", pa.int64())])
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = np.argsort(late) if late is not None else None
-        known = late[place] if late is not None else None
-        for batch in batches:
-            columns, rows = [[], [], []], 0
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                shingles = shingle_set(text)
-                if not shingles:
-                    continue
-                n, own = len(shingles), _hashes(shingles)
-                if first:
-                    if known is not None and len(known):
-                        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                        own = own[np.lexsort((own, np.where(known[at] == own, place[at], -1)))]
-                    own = own[: n - (4 * n + 4) // 5 + 1]
-                for c, v in zip(columns, (own, np.full(len(own), n), np.full(len(own), name))):
-                    c.append(v)
-                rows += len(own)
-                if rows > BATCH:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(columns, schema)], schema=schema)
-                    columns, rows = [[], [], []], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(columns, schema)], schema=schema)
-        give_back()
-
-    return docs.select("name", "text").mapInArrow(cut, "shingle long, n int, name long")
-
-
-def _frequent(docs: DataFrame, total: int) -> np.ndarray:
-    """Shingles that a sample of the texts holds often, the most frequent last; at most ``LATE``."""
-    part = docs.where(F.pmod(F.xxhash64("name"), F.lit(max(1, total // SAMPLE))) == 0)
-    often = _rows_by_shingle(part, False).groupBy("shingle").count().where("count > 2").orderBy(F.desc("count"), "shingle").limit(LATE)
-    found = [r["shingle"] for r in often.collect()]  # bounded by LATE
-    return np.array(found[::-1], np.int64)
-
-
-def _alike(left: str, right: str) -> Column:
-    """``alike`` of two columns of texts."""
-
-    @F.pandas_udf("boolean")
-    def compare(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        kept = lru_cache(maxsize=64)(shingle_set)
-        for a, b in batches:
-            yield pd.Series([alike(kept(x), kept(y)) for x, y in zip(a, b)], dtype="bool")
-        kept.cache_clear()
-        give_back()
-
-    return compare(left, right)
-
-
-def near_texts(docs: DataFrame, names: DataFrame, links: DataFrame) -> DataFrame:
-    """Links (left, right) of fingerprints that, with ``links``, connect all texts with a Jaccard similarity of 0.8 or more.
-
-    ``docs`` has (name, text), the name being the text's hash, ``names`` the (name, fp) of each text once. A prefix filter finds texts that share a rare shingle; each candidate is checked on its
-    shingles themselves. Texts that are connected already need no check, so a large group of near copies is linked
-    through a few of its members, another one in each round, and only what is still apart is compared in pairs.
-    """
-    heads = _rows_by_shingle(docs, True, _frequent(docs, names.count()))
-    along = Window.partitionBy("shingle")  # one shuffle and nothing stored but what texts share
-    heads = heads.select("*", F.min("name").over(along).alias("a"), F.max("name").over(along).alias("b")).where("a < b")
-    heads = materialize(heads.select("shingle", "n", "name").distinct(), "shared-shingles")
-    open_ = heads.join(names, "name")
-    used = heads.select("name").distinct()
-    texts = materialize(docs.join(used, "name", "left_semi").dropDuplicates(["name"]).select("name", "text"), "shared-texts")
-
-    def checked(pairs: DataFrame, label: str) -> DataFrame:
-        """Of rows (x, y): structs of fp, name and n, with x before y, the links of those alike."""
-        long = F.least("x.n", "y.n") * 5 >= F.greatest("x.n", "y.n") * 4
-        pairs = pairs.where(long).select(F.col("x.name").alias("l"), F.col("y.name").alias("r"), F.col("x.fp").alias("left"), F.col("y.fp").alias("right")).distinct()
-        pairs = pairs.join(texts.select(F.col("name").alias("l"), F.col("text").alias("lt")), "l")
-        pairs = pairs.join(texts.select(F.col("name").alias("r"), F.col("text").alias("rt")), "r")
-        return materialize(pairs.where(_alike("lt", "rt")).select("left", "right").distinct(), label)
-
-    out = links.limit(0).select("left", "right")
-    one = F.struct("name", "fp", "n")
-    for turn in range(ROUNDS + 1):
-        groups = components(links.select("left", "right").unionByName(out), f"texts-{turn}")
-        labelled = open_.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("component", "fp")).drop("component")
-        apart = labelled.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("shingle")
-        open_ = materialize(labelled.join(apart, "shingle").select("shingle", "n", "fp", "name", "label"), f"open-shingles-{turn}")
-        if open_.isEmpty():
-            break
-        rows = open_.select("shingle", "label", one.alias("x"))
-        if turn < ROUNDS:
-            lead = open_.groupBy("shingle").agg(F.min_by(F.struct(one.alias("y"), "label"), F.xxhash64("name", F.lit(turn))).alias("lead"))
-            pairs = rows.join(lead, "shingle").where("label <> lead.label").select("x", F.col("lead.y").alias("y"))
-            pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        else:
-            other = rows.select("shingle", F.col("label").alias("label2"), F.col("x").alias("y"))
-            pairs = rows.join(other, "shingle").where("label <> label2 and x < y").select("x", "y")
-        out = out.unionByName(checked(pairs, f"text-links-{turn}"))
-        open_ = open_.drop("label")
-    return out
-
-
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", budget: int = 2, texts: bool = False) -> DataFrame:
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", budget: int = 2) -> DataFrame:
     """The rows of ``docs``, all columns, that stay when one row of each group of near-duplicates does.
 
-    Near are fingerprints at most ``budget`` bits apart and, with ``texts``, texts with four fifths of their five-word
-    shingles in common. The row with the group's smallest key stays; of rows that repeat that key, one does. Rows whose key is
+    The row with the group's smallest key stays; of rows that repeat that key, one does. Rows whose key is
     null stay all, since they cannot be told apart.
     """
-    groups = near_duplicates(docs, key, text, budget, texts=texts).where(F.col(key) == F.col("component_id")).select(key).distinct()
+    groups = near_duplicates(docs, key, text, budget).where(F.col(key) == F.col("component_id")).select(key).distinct()
     named = docs.where(F.col(key).isNotNull())
     kept = named.join(groups, key, "left_semi").select(*docs.columns)
     return kept.dropDuplicates([key]).unionByName(docs.where(F.col(key).isNull()))
