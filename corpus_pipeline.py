@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import packing, quality, secret_scan, simhash, suffixes
+from contrail.llm import near_texts, packing, quality, secret_scan, suffixes
 from contrail.session import materialize
 
 
@@ -15,7 +15,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
-    return simhash.one_of_each(docs, texts=True)
+    return near_texts.one_of_each(docs)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
