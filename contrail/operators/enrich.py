@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from contrail import constants as K
 from contrail.functions.casts import to_num
 from contrail.functions.values import has_value
-from contrail.operators.lookups import HotKeys, dedup_first, lookup
+from contrail.operators.lookups import HotKeys, Skew, dedup_first, lookup
 
 
 def join_traffic(
-    flights: DataFrame, opsnet: DataFrame, airport: str = "Origin", day: str = "FlightDate", hot: HotKeys | None = None
+    flights: DataFrame, opsnet: DataFrame, airport: str = "Origin", day: str = "FlightDate", hot: HotKeys | Skew | None = None
 ) -> DataFrame:
     """Attach the airport's operations of the day and whether there were any on record."""
     side = opsnet.where("airport is not null").select(
@@ -33,7 +33,7 @@ def causes_by_month(
 
 
 def join_causes(
-    flights: DataFrame, monthly: DataFrame, airport: str = "Origin", day: str = "FlightDate", hot: HotKeys | None = None
+    flights: DataFrame, monthly: DataFrame, airport: str = "Origin", day: str = "FlightDate", hot: HotKeys | Skew | None = None
 ) -> DataFrame:
     side = monthly.where("airport is not null").withColumnsRenamed(
         {"airport": airport, "year": "_year", "month": "_month"}
@@ -56,7 +56,7 @@ def airport_master(airports: DataFrame) -> DataFrame:
 
 
 def join_airports(
-    flights: DataFrame, airports: DataFrame, airport: str = "Origin", hot: HotKeys | None = None
+    flights: DataFrame, airports: DataFrame, airport: str = "Origin", hot: HotKeys | Skew | None = None
 ) -> DataFrame:
     side = airport_master(airports).drop("id").withColumnRenamed("airport", airport)
     return lookup(flights, side, [airport], hot)
@@ -83,7 +83,7 @@ def runway_profile(runways: DataFrame, airports: DataFrame) -> DataFrame:
 
 
 def join_runways(
-    flights: DataFrame, profile: DataFrame, airport: str = "Origin", hot: HotKeys | None = None
+    flights: DataFrame, profile: DataFrame, airport: str = "Origin", hot: HotKeys | Skew | None = None
 ) -> DataFrame:
     return lookup(flights, profile.withColumnRenamed("airport", airport), [airport], hot)
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail import constants as K
-from contrail.operators.lookups import HotKeys, join_back, lookup, prior_day, prior_month
+from contrail.operators.lookups import HotKeys, Skew, join_back, lookup, prior_day, prior_month
 from contrail.operators.ordered import quantile_row, running_totals, text_block
 from contrail.session import materialize
 
@@ -38,13 +38,13 @@ def label_index(df: DataFrame, c: str, missing: str = "Unknown") -> DataFrame:
 
 
 def label_encode(
-    df: DataFrame, c: str, hot: HotKeys | None = None, missing: str = "Unknown", source: DataFrame | None = None
+    df: DataFrame, c: str, hot: HotKeys | Skew | None = None, missing: str = "Unknown", source: DataFrame | None = None
 ) -> DataFrame:
     """Add ``<c>_enc``; a null counts as the category ``missing``."""
     index = label_index(df if source is None else source, c, missing).withColumnRenamed(c, f"_{c}")
     keyed = df.withColumn(f"_{c}", F.coalesce(F.col(c).cast("string"), F.lit(missing)))
     if hot:
-        hot = HotKeys(f"_{c}", hot.values, hot.salts)
+        hot = hot.renamed(f"_{c}")
     return lookup(keyed, index, [f"_{c}"], hot).drop(f"_{c}")
 
 
@@ -83,7 +83,7 @@ def target_encode(
     labels: dict[str, str],
     m: float,
     scope: str = "train",
-    hot: HotKeys | None = None,
+    hot: HotKeys | Skew | None = None,
     source: DataFrame | None = None,
 ) -> DataFrame:
     """Attach smoothed rates; groups never seen in scope get the global rate."""
@@ -116,7 +116,7 @@ def lag_table(daily: DataFrame, day: str = "FlightDate", origin: str = "Origin")
 
 
 def prior_day_features(
-    df: DataFrame, per_split: bool = True, hot: HotKeys | None = None, source: DataFrame | None = None
+    df: DataFrame, per_split: bool = True, hot: HotKeys | Skew | None = None, source: DataFrame | None = None
 ) -> DataFrame:
     """Yesterday's rates and volume at the origin, from the same split; without a yesterday, training averages.
 
@@ -160,7 +160,7 @@ def hourly_counts(df: DataFrame, scope: str = "train") -> DataFrame:
 
 
 def hourly_congestion(
-    df: DataFrame, scope: str = "train", hot: HotKeys | None = None, source: DataFrame | None = None
+    df: DataFrame, scope: str = "train", hot: HotKeys | Skew | None = None, source: DataFrame | None = None
 ) -> DataFrame:
     """Flights leaving the same airport in the same hour; 1 where unknown."""
     return join_back(
@@ -184,7 +184,7 @@ def cause_lag_table(df: DataFrame, scope: str = "train") -> DataFrame:
 
 
 def prior_month_causes(
-    df: DataFrame, scope: str = "train", hot: HotKeys | None = None, source: DataFrame | None = None
+    df: DataFrame, scope: str = "train", hot: HotKeys | Skew | None = None, source: DataFrame | None = None
 ) -> DataFrame:
     dated = df.withColumns({"_year": F.year("FlightDate"), "_month": F.month("FlightDate")})
     table = cause_lag_table(df if source is None else source, scope)
@@ -194,7 +194,7 @@ def prior_month_causes(
     return out.withColumns({c: F.lit(0.0) for c in absent}) if absent else out
 
 
-def prev_day_failure(df: DataFrame, hot: HotKeys | None = None, source: DataFrame | None = None) -> DataFrame:
+def prev_day_failure(df: DataFrame, hot: HotKeys | Skew | None = None, source: DataFrame | None = None) -> DataFrame:
     """1 if any flight failed on the origin's previous *recorded* day, however long ago; 0 on its first day.
 
     Only the airport-day table is ordered, never the flights.
@@ -208,7 +208,7 @@ def prev_day_failure(df: DataFrame, hot: HotKeys | None = None, source: DataFram
 
 
 def group_demean(
-    df: DataFrame, key: str, c: str, out: str, hot: HotKeys | None = None, source: DataFrame | None = None
+    df: DataFrame, key: str, c: str, out: str, hot: HotKeys | Skew | None = None, source: DataFrame | None = None
 ) -> DataFrame:
     """``c`` minus its group mean; the mean is aggregated and looked up, so no group lands in one task."""
     source = df if source is None else source

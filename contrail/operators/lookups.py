@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contrail.session import materialize
 
 SALT = "_salt_"
 
@@ -27,6 +29,54 @@ class HotKeys:
         pairs = [F.lit(x) for v, n in zip(self.values, self.each or [self.salts] * len(self.values)) for x in (v, n)]
         return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(self.column)), F.lit(1))
 
+    def renamed(self, column: str) -> HotKeys:
+        return replace(self, column=column)
+
+
+class Skew:
+    """Hot values of a column that are looked for only once a join needs them, and then only once."""
+
+    def __init__(self, column: str, find: Callable[[], HotKeys]):
+        self.column, self._find = column, find
+
+    @classmethod
+    def of(cls, df: DataFrame, column: str, weight: str | None = None) -> Skew:
+        return cls(column, lambda: find_hot(df, column, weight=weight))
+
+    @cached_property
+    def keys(self) -> HotKeys:
+        return self._find()
+
+    def renamed(self, column: str) -> Skew:
+        return Skew(column, lambda: self.keys.renamed(column))
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's size of ``df``; of a stored table that of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    """Bytes up to which the planner broadcasts a side of a join."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return int(conf.autoBroadcastJoinThreshold())
+
+
+def is_stored(df: DataFrame) -> bool:
+    """Whether ``df`` only reads files, so that its planned size is measured and not guessed."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.getClass().getSimpleName() == "Project":
+        plan = plan.child()
+    return plan.getClass().getSimpleName() == "LogicalRelation"
+
+
+def fits_broadcast(df: DataFrame) -> tuple[bool, DataFrame]:
+    """Whether ``df`` can be broadcast, by its measured size; and ``df``, stored if its size was not known."""
+    limit = broadcast_limit(df)
+    if planned_bytes(df) > limit and limit > 0 and not is_stored(df):
+        df = materialize(df, "lookup")
+    return planned_bytes(df) <= limit, df
+
 
 def find_hot(
     df: DataFrame, column: str, share: float | None = None, salts: int | None = None, weight: str | None = None
@@ -60,18 +110,23 @@ def lookup(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
-    hot: HotKeys | None = None,
+    hot: HotKeys | Skew | None = None,
     how: str = "left",
 ) -> DataFrame:
     """Join ``left`` with ``right``, which must be unique in ``on``; null keys match nothing.
 
-    With ``hot`` keys, left rows of a hot value are spread over salts (see ``spread``; a salt column already
+    A ``right`` that is small enough by its measured size is broadcast, and a hot key does no harm; whether there are any is
+    not even asked. Otherwise, with ``hot`` keys, left rows of a hot value are spread over salts (see ``spread``; a salt column already
     there is used as it is) and the right rows of just those values are repeated once per salt. Only a join on the
     hot column alone is salted: further columns spread its rows already. The repeated side is never broadcast, since
     the planner does not see how often it is repeated.
     """
     on = list(on)
-    if not hot or not hot.values or on != [hot.column]:
+    if not hot or on != [hot.column]:
+        return left.join(right, on, how)
+    small, right = fits_broadcast(right)
+    hot = hot.keys if isinstance(hot, Skew) and not small else hot
+    if small or not hot.values:
         return left.join(right, on, how)
     salt = f"{SALT}{hot.column}"
     keep = salt in left.columns
@@ -81,21 +136,12 @@ def lookup(
     return joined if keep else joined.drop(salt)
 
 
-def with_salt(df: DataFrame, hot: HotKeys | None) -> DataFrame:
-    """Salt once, ahead of several lookups by the same column."""
-    return spread(df, hot, f"{SALT}{hot.column}") if hot and hot.values else df
-
-
-def without_salts(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith(SALT)])
-
-
 def join_back(
     df: DataFrame,
     stats: DataFrame,
     on: Sequence[str],
     defaults: dict[str, Column],
-    hot: HotKeys | None = None,
+    hot: HotKeys | Skew | None = None,
 ) -> DataFrame:
     """Attach statistics; where the group was never seen use the default (a literal or a scalar query)."""
     joined = lookup(df, stats, on, hot)

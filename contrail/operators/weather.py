@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail import constants as K
-from contrail.operators.lookups import HotKeys, lookup
+from contrail.operators.lookups import HotKeys, Skew, lookup
 
 _AGG = {"avg": F.avg, "sum": F.sum, "max": F.max}
 HOUR_KEYS = ["w_date", "w_hour"]
@@ -73,7 +73,7 @@ def enrich_airport_hour(
     origin: str = "Origin",
     day: str = "f_date",
     hour: str = "dep_hour",
-    hot: HotKeys | None = None,
+    hot: HotKeys | Skew | None = None,
 ) -> DataFrame:
     """Attach the station's weather of the departure hour."""
     side = hourly.select(
@@ -90,8 +90,8 @@ def enrich_with_fallback(
     day: str = "f_date",
     hour: str = "dep_hour",
     anchor: str = "tmpf",
-    hot: HotKeys | None = None,
-    hot_region: HotKeys | None = None,
+    hot: HotKeys | Skew | None = None,
+    hot_region: HotKeys | Skew | None = None,
 ) -> DataFrame:
     """Station weather, each missing measure filled from the region's mean, and where it came from."""
     measures = measures_in(hourly)

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from contrail import session
 from contrail.operators import association, features, lookups, metrics, models, ordered, profile, sampling
 from contrail.plans import base, jobs
 
@@ -20,7 +21,20 @@ def skewed(spark):
     return pdf, spark.createDataFrame(pdf).repartition(6).cache()
 
 
-def test_salted_lookup_equals_plain(spark, skewed):
+@pytest.fixture
+def no_broadcast(spark):
+    """Every stored table counts as too large to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_salted_lookup_equals_plain(spark, skewed, no_broadcast):
     pdf, df = skewed
     right = df.where("key <> 'k3'").groupBy("key").agg(F.avg("x").alias("m"))
     hot = lookups.find_hot(df, "key", share=0.2, salts=8)
@@ -34,7 +48,57 @@ def test_salted_lookup_equals_plain(spark, skewed):
     assert len(spread) == 8 and max(r["count"] for r in spread) < 300
 
 
-def test_only_a_join_on_the_hot_column_alone_is_salted(spark, skewed):
+def test_a_small_table_is_broadcast_in_spite_of_hot_keys(spark, skewed):
+    _, df = skewed
+
+    def ask():
+        raise AssertionError("hot keys were looked for")
+
+    right = session.materialize(df.groupBy("key").agg(F.avg("x").alias("m")), "small")
+    wide = df.groupBy("key").agg(F.avg("x").alias("m"))  # the planner's guess of its size comes from df's
+    for table in (right, wide):
+        plan = plan_of(lookups.lookup(df, table, ["key"], lookups.Skew("key", ask)))
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "_salt_" not in plan
+
+
+def test_only_a_large_table_is_salted_and_hot_keys_are_asked_for_once(spark, skewed, no_broadcast):
+    _, df = skewed
+    asked = []
+    skew = lookups.Skew("key", lambda: (asked.append(1), lookups.find_hot(df, "key", share=0.2))[1])
+    right = df.groupBy("key").agg(F.avg("x").alias("m"))
+    twice = lookups.lookup(lookups.lookup(df, right, ["key"], skew), right.withColumnRenamed("m", "m2"), ["key"], skew)
+    plan = plan_of(twice)
+    assert len(asked) == 1 and "_salt_" in plan and "BroadcastHashJoin" not in plan
+    assert twice.where("m <=> m2").count() == df.count()
+
+
+def test_airport_tables_stay_broadcast(spark, folder):
+    """The whole dataset job under a hot airport: no sort-merge join of the flights."""
+    flights = base.flights(spark, folder).withColumn("Origin", F.when(F.col("flight_id") % 3 == 0, "CHINA").otherwise(F.col("Origin")))
+    final = jobs.build_dataset(
+        flights, base.weather(spark, folder), base.opsnet(spark, folder), base.causes(spark, folder), base.airports(spark, folder),
+        base.runways(spark, folder), base.YEARS_OUT, base.CAUSE_YEARS)
+    assert "SortMergeJoin" not in plan_of(final) and "_salt_" not in plan_of(final)
+
+
+def test_flight_history_is_summed_on_the_map_side(spark, folder):
+    """One scan and one exchange; what tasks hand over are airport-days, airlines and regions, not flights."""
+    df = base.splits(spark, folder).selectExpr("*", "Airline _airline", "Origin _origin", "region _region")
+    history = jobs.flight_history(df)
+    plan = plan_of(history)
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Scan parquet") == 1 and "partial_count" in plan
+    days = df.select("split", "Origin", "FlightDate").distinct().count()
+    rows = history.groupBy("_set").agg(F.count("*").alias("rows"), F.sum("n").alias("n")).collect()
+    assert {r["_set"]: r["n"] for r in rows} == {s: df.count() for s in ("airline", "region", "day")}
+    assert {r["_set"]: r["rows"] for r in rows}["day"] == days
+    hours = history.where("_set = 'day'").select(F.sum(F.aggregate("hours", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0]
+    assert hours == df.where("dep_hour is not null").count()
+    # with many flights a day the rows do not grow
+    many = df.crossJoin(spark.range(10)).drop("id")
+    assert jobs.flight_history(many).count() == history.count()
+
+
+def test_only_a_join_on_the_hot_column_alone_is_salted(spark, skewed, no_broadcast):
     _, df = skewed
     hot = lookups.find_hot(df, "key", share=0.2)
     right = df.groupBy("key", "y").agg(F.avg("x").alias("m"))
@@ -212,7 +276,7 @@ def test_modeling_table_does_not_depend_on_row_order_or_skew_handling(spark, fol
     from contrail.session import materialize
 
     table = materialize(final(spark, folder), "final")
-    a = jobs.build_features(table, base.YEARS, keep=["flight_id"], skew=False)
+    a = jobs.build_features(table, base.YEARS, keep=["flight_id"])
     spark.conf.set("spark.sql.shuffle.partitions", "200")  # many partitions: every origin counts as hot
     try:
         b = jobs.build_features(table.repartition(5).orderBy(F.desc("flight_id")), base.YEARS, keep=["flight_id"])
