@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from contrail import constants as K
-from contrail.operators import association, clean, metrics, models, sampling, weather
+from contrail.operators import association, clean, metrics, models, sampling, search, weather
 from contrail.plans import base, jobs
 from contrail.plans.registry import query
 from contrail.session import materialize, shared_dir
@@ -269,6 +269,36 @@ def _(spark, folder):
     return models.param_search(spark, trials, run, "val_macro_f1")[0]
 
 
+@query("m16_delay_search", "trial:i val_rows:i flown:i delayed:i rounds_kept:i prauc_agrees:i f1_agrees:i", """
+SELECT i AS trial, v.*, 1 AS rounds_kept, 1 AS prauc_agrees, 1 AS f1_agrees FROM generate_series(1, 4) t(i),
+  (SELECT count(*) AS val_rows, count(*) FILTER (WHERE is_cancelled = 0) AS flown, sum(is_delayed) AS delayed FROM splits WHERE split = 'val') v""")
+def _(spark, folder):
+    """Adaptive search of the delay model; its metrics computed again by SQL from each trial's stored predictions."""
+    kept = []
+    space = {"maxIter": search.Whole(2, 8, step=2), "maxDepth": search.Whole(2, 4), "stepSize": search.Real(0.05, 0.5, log=True), "weight_factor": search.Real(0.5, 3.0)}
+    _, table = jobs.tune_delay_model(
+        learnable(spark, folder), "flight_id", 4, None, space=space, patience=2, features=NUMBERS, startup=2,
+        keep=lambda params, scored: kept.append(materialize(scored, "scored")))
+    parts = [df.withColumn("trial", F.lit(i + 1)) for i, df in enumerate(kept)]
+    again = spark.sql("""
+WITH s AS (SELECT * FROM {scored}),
+     p AS (SELECT trial, prob_delay, count(*) AS n, sum(is_delayed) AS pos FROM s WHERE is_cancelled = 0 GROUP BY ALL),
+     u AS (SELECT *, sum(pos) OVER w AS hits, sum(n) OVER w AS taken, sum(pos) OVER (PARTITION BY trial) AS all_pos FROM p
+           WINDOW w AS (PARTITION BY trial ORDER BY prob_delay DESC)),
+     a AS (SELECT trial, sum(pos / all_pos * hits / taken) AS prauc FROM u GROUP BY trial),
+     g AS (SELECT trial, tb, target, CASE WHEN prob_delay >= tb / 100 THEN 1 ELSE 0 END AS guess FROM s LATERAL VIEW explode(sequence(10, 60, 2)) AS tb),
+     c AS (SELECT trial, tb, k, count_if(target = k) AS real, count_if(guess = k) AS said, count_if(target = k AND guess = k) AS both
+           FROM g LATERAL VIEW explode(array(0, 1, 2)) AS k GROUP BY ALL),
+     m AS (SELECT trial, tb, avg(CASE WHEN real + said > 0 THEN 2 * both / (real + said) END) AS mf1 FROM c GROUP BY ALL),
+     b AS (SELECT trial, max(round(mf1, 4)) AS mf1 FROM m GROUP BY trial),
+     r AS (SELECT trial, count(*) AS val_rows, count_if(is_cancelled = 0) AS flown, sum(is_delayed) AS delayed FROM s GROUP BY trial)
+SELECT r.*, a.prauc AS own_prauc, b.mf1 AS own_mf1 FROM r JOIN a USING (trial) JOIN b USING (trial)""", scored=clean.union_parts(*parts))
+    close = lambda a, b: (F.abs(F.col(a) - F.col(b)) < 1e-4).cast("int")
+    most = F.get_json_object("params", "$.maxIter").cast("int")
+    return table.select("trial", "prauc", "best_mf1", F.col("rounds").between(1, most).cast("int").alias("rounds_kept")).join(again, "trial").select(
+        "trial", "val_rows", "flown", "delayed", "rounds_kept", close("prauc", "own_prauc").alias("prauc_agrees"), close("best_mf1", "own_mf1").alias("f1_agrees"))
+
+
 @query("m18_importances", "feature:s importance:f")
 def _(spark, folder):
     df = models.assemble(learnable(spark, folder), NUMBERS)
