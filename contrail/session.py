@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,13 +46,53 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+_PATHS: ContextVar[list[str] | None] = ContextVar("paths of stored tables", default=None)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table's files, wherever the path's file system is; a missing one is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def stored_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Scope of a job: what ``materialize`` stores inside is dropped at its end, also if the job fails.
+
+    Write the job's result inside the scope; a DataFrame that still reads stored tables is of no use afterwards. Scopes can be nested: each drops
+    its own tables.
+    """
+    paths: list[str] = []
+    token = _PATHS.set(paths)
+    try:
+        yield paths
+    finally:
+        _PATHS.reset(token)
+        for path in paths:
+            drop_path(spark, path)
+
+
+def stored_result(spark: SparkSession, build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """``build()``, stored, once all it stored on the way is dropped."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    with stored_tables(spark):
+        df = build()
+        df.write.parquet(path)
+        schema = df.schema
+    if _PATHS.get() is not None:
+        _PATHS.get().append(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The read-back table has no upstream lineage (a lost executor re-reads files instead of redoing joins)
-    and an exact size, so the planner broadcasts it only when it really is small.
+    and an exact size, so the planner broadcasts it only when it really is small. Inside ``stored_tables`` it is dropped with its job.
     """
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    if _PATHS.get() is not None:
+        _PATHS.get().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -58,5 +100,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def store_all(store: Callable[[DataFrame, str], DataFrame], tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Store independent tables side by side, so that small jobs do not wait for each other."""
     with ThreadPoolExecutor(max_workers=min(8, max(1, len(tables)))) as pool:
-        futures = {label: pool.submit(store, df, label) for label, df in tables.items()}
+        futures = {label: pool.submit(copy_context().run, store, df, label) for label, df in tables.items()}
         return {label: f.result() for label, f in futures.items()}
