@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from contrail import constants as K
 from contrail.operators.lookups import HotKeys, Skew, join_back, lookup, prior_day, prior_month
-from contrail.operators.ordered import quantile_row, running_totals, text_block
+from contrail.operators.ordered import quantile_row, running_totals
 from contrail.session import materialize
 
 SEASON_EDGES = [0, 3, 6, 9, 12]
@@ -32,7 +32,7 @@ def in_scope(df: DataFrame, scope: str) -> DataFrame:
 def label_index(df: DataFrame, c: str, missing: str = "Unknown") -> DataFrame:
     """Distinct values of ``c`` with their index in binary order."""
     values = df.select(F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias(c)).groupBy(c).agg(F.lit(1).alias("_one"))
-    return running_totals(values, c, ["_one"], block=text_block).select(
+    return running_totals(values, c, ["_one"]).select(
         c, (F.col("cum__one") - 1).cast("int").alias(f"{c}_enc")
     )
 

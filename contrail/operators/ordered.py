@@ -14,25 +14,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.casts import col
+from contrail.session import materialize
 
 STEPS_PER_OCTAVE = 256
 OFFSET = 1_100 * STEPS_PER_OCTAVE  # keeps the exponent part positive over the whole double range
+EVEN_STEPS = 1 << 16
 HASH_BLOCKS_BITS = 16
 
 
-def number_block(c: Column | str) -> Column:
-    """Order-preserving block of a number: sign, exponent and eight further bits of magnitude.
+def number_block(c: Column | str, low: Column | None = None, high: Column | None = None) -> Column:
+    """Order-preserving block of a number.
 
-    Blocks never number more than 2 * 2,200 * 256 + 1, whatever the data size.
+    By magnitude: sign, exponent and eight further bits. Between ``low`` and ``high``, the range of the finite values, also
+    by ``EVEN_STEPS`` even steps, which keep apart what is crowded into few magnitudes (times, years, numbers with an
+    offset). Infinities are blocks at the ends. Both parts rise with the value, so there are at most
+    2 * 2,200 * 256 + 3 + ``EVEN_STEPS`` blocks that hold something, whatever the data size.
     """
     v = col(c).cast("double")
-    size = F.floor(F.log2(F.abs(v)) * STEPS_PER_OCTAVE).cast("int") + F.lit(OFFSET)
-    return F.when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size)
-
-
-def text_block(c: Column | str, width: int = 3) -> Column:
-    """Order-preserving block of a text: its first characters."""
-    return F.substring(col(c), 1, width)
+    infinite = F.abs(v) == F.lit(float("inf"))
+    size = F.floor(F.log2(F.when(~infinite, F.abs(v))) * STEPS_PER_OCTAVE) + F.lit(OFFSET)
+    size = F.when(v == 0, F.lit(0)).when(infinite, F.lit(2 * OFFSET)).otherwise(size)
+    block = F.when(v < 0, -size).otherwise(size).cast("long")
+    if low is None:
+        return block
+    share = F.try_divide(v / 2 - low / 2, high / 2 - low / 2)  # halves, since the range itself may be too large
+    step = F.floor(F.least(F.greatest(F.coalesce(share, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)) * (EVEN_STEPS - 1))
+    return block * EVEN_STEPS + F.when(infinite, 0).otherwise(step).cast("long")
 
 
 def _window(by: Sequence[str]) -> Window:
@@ -44,14 +51,17 @@ def running_totals(
     value: str,
     sums: Sequence[str],
     by: Sequence[str] = (),
-    block: Callable[[str], Column] = number_block,
 ) -> DataFrame:
     """Add ``cum_<s>`` (up to and including the row, ascending ``value``) and ``all_<s>`` for each sum column.
 
-    ``df`` must hold one row per (by, value); ``value`` must not be null.
+    ``df`` must hold one row per (by, value); ``value`` must not be null, but may be of any type that has an order. The rows are dealt
+    out by ranges whose bounds Spark takes from a sample of them, so values crowded together or with one long prefix
+    in common spread as evenly as others. The dealt rows are stored with their range's number, which is then the same for all that reads it.
     """
     by = list(by)
-    parts = df.withColumn("_block", block(value))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    parts = df.repartitionByRange(ranges, *by, value).withColumn("_block", F.spark_partition_id())
+    parts = materialize(parts, "ranges")
     inside = Window.partitionBy(*by, "_block").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     earlier = _window(by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = parts.groupBy(*by, "_block").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
@@ -87,12 +97,15 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: rows (by..., column, p, q, n).
 
-    Two passes over the input, neither of which shuffles it: the first counts rows per value block, the
-    second keeps only the one or two blocks that hold each wanted rank. ``bounded_by`` says that the groups
+    Three passes over the input, none of which shuffles it: for the range of each column, for the number of rows in each value
+    block, and for the values of the one or two blocks that hold each wanted rank. ``bounded_by`` says that the groups
     are few by nature (classes, flags), so the list of wanted blocks may be broadcast.
     """
     by = list(by)
-    long = unpivot(df, cols, by).withColumn("_block", number_block("value"))
+    finite = [F.when(F.abs(F.col(c).cast("double")) < float("inf"), F.col(c).cast("double")) for c in cols]
+    spans = df.agg(F.struct(*[F.struct(F.min(v).alias("low"), F.max(v).alias("high")).alias(c) for c, v in zip(cols, finite)])).scalar()
+    span = F.coalesce(*[F.when(F.col("column") == c, spans[c]) for c in cols])
+    long = unpivot(df, cols, by).withColumn("_block", number_block("value", span["low"], span["high"]))
     group = [*by, "column"]
     blocks = long.groupBy(*group, "_block").agg(F.count("*").alias("_n"))
     ordered = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -128,7 +141,8 @@ def exact_quantiles(
         return F.max(F.when((F.col("_start") <= place) & (F.col("_end") > place), F.col("value")))
 
     low, high, share = value_at(F.floor(at)), value_at(F.ceil(at)), F.max(at - F.floor(at))
-    return found.groupBy(*group, "p").agg((low + (high - low) * share).alias("q"), F.max("n").alias("n"))
+    between = F.when((low == high) | (share == 0), low).otherwise(low + (high - low) * share)  # infinities have no middle
+    return found.groupBy(*group, "p").agg(between.alias("q"), F.max("n").alias("n"))
 
 
 def _rank(p: Column | float) -> Column:
@@ -182,6 +196,7 @@ def cut_by_hash(
         .agg(F.collect_list("_cut").alias("_cuts"))  # one entry per limit
     )
     if by:
+        cuts = materialize(cuts, "cuts")  # one row for each group: broadcast by its size, so the rows stay where they are
         # null labels are a stratum of their own
         cuts = cuts.withColumnsRenamed({c: f"_of_{c}" for c in by})
         same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]

@@ -284,6 +284,8 @@ def pacf(series: DataFrame, value: str, order: str, nlags: int = 30) -> DataFram
     """Partial autocorrelation: Durbin-Levinson on the ``nlags + 1`` autocorrelations."""
     r = [row["acf"] for row in acf(series, value, order, nlags).orderBy("lag").collect()]
     partial, phi = [1.0], []
+    if None in r:  # a constant series
+        return series.sparkSession.createDataFrame([(k, None) for k in range(len(r))], "lag int, pacf double")
     for k in range(1, len(r)):
         top = r[k] - sum(p * r[k - 1 - j] for j, p in enumerate(phi))
         bottom = 1 - sum(p * r[j + 1] for j, p in enumerate(phi))

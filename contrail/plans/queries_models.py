@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from contrail import constants as K
@@ -172,13 +173,14 @@ def _(spark, folder):
     return metrics.rank_trials(sweep, "cancelled_recall", floor=("macro_f1", 0.35))
 
 
-@query("m17_compare_runs", "step:i split:s test_macro_f1:f place:i gain:f", """
-WITH r AS (SELECT CAST(yr AS INT) AS step, 'y' AS split, avg(is_delayed) AS test_macro_f1 FROM labelled GROUP BY yr)
-SELECT step, split, test_macro_f1, rank() OVER (ORDER BY test_macro_f1 DESC) AS place,
+@query("m17_compare_runs", "step:i thresh_a:f thresh_b:f test_macro_f1:f place:i gain:f", f"""
+WITH r AS (SELECT thresh_a, thresh_b, macro_f1 AS test_macro_f1, row_number() OVER (ORDER BY thresh_a, thresh_b) AS step FROM ({sweep_sql(*K.TUNED_GRID)}))
+SELECT step, thresh_a, thresh_b, test_macro_f1, rank() OVER (ORDER BY test_macro_f1 DESC) AS place,
        test_macro_f1 - max(test_macro_f1) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gain FROM r""")
 def _(spark, folder):
-    runs = base.labelled(spark, folder).groupBy(F.year("FlightDate").alias("step")).agg(F.avg("is_delayed").alias("test_macro_f1"))
-    return metrics.compare_runs(runs).withColumn("split", F.lit("y"))
+    """The macro F1 of one run for each threshold pair of the tuning grid, in the grid's order."""
+    sweep = metrics.threshold_sweep(base.scored(spark, folder), *K.TUNED_GRID).select("thresh_a", "thresh_b", F.col("macro_f1").alias("test_macro_f1"))
+    return metrics.compare_runs(sweep.withColumn("step", F.row_number().over(Window.orderBy("thresh_a", "thresh_b"))))
 
 
 # --- models ---------------------------------------------------------------------------------------
@@ -206,14 +208,36 @@ def evaluate(pred):
 TEST_ROWS = "SELECT count(*) AS n, count(*) AS valid FROM splits WHERE split = 'test'"
 
 
-@query("m1_preprocess", "n:i valid:i", TEST_ROWS)
-def _(spark, folder):
-    df = learnable(spark, folder)
-    pre = models.preprocess(["Airline", "Origin"], NUMBERS).fit(df.where("split = 'train'"))
-    out = pre.transform(df.where("split = 'test'"))
-    width = len(models.vector_names(out))
-    size = F.size(models.vector_to_array("features"))
-    return out.agg(F.count("*").alias("n"), F.sum((size == width).cast("int")).alias("valid"))
+MEASURES = ["Distance", "tmpf", "vsby", "p01i", "gust"]
+_FILLED = ", ".join(f"coalesce({c}, (SELECT quantile_disc({c}, 0.5) FROM t WHERE split = 'train')) AS {c}" for c in MEASURES)
+_SCALED = ", ".join(f"(i.{c} - (SELECT avg({c}) FROM i WHERE split = 'train')) / (SELECT stddev_samp({c}) FROM i WHERE split = 'train') AS {c}_std" for c in MEASURES)
+
+
+@query("m1_preprocess", "flight_id:i airline:s origin:s slots:i " + " ".join(f"{c}_std:f" for c in MEASURES), f"""
+WITH t AS (SELECT m.*, CASE WHEN yr = 2000 THEN 'val' WHEN yr = 2001 THEN 'test' ELSE 'train' END AS split FROM merged m WHERE yr <> 1997),
+     i AS (SELECT flight_id, split, Airline, Origin, {_FILLED} FROM t),
+     k AS (SELECT count(DISTINCT Airline) + count(DISTINCT Origin) + {len(MEASURES)} AS slots FROM t WHERE split = 'train')
+SELECT flight_id, Airline AS airline, CASE WHEN Origin IN (SELECT Origin FROM t WHERE split = 'train') THEN Origin END AS origin, slots, {_SCALED}
+FROM i CROSS JOIN k WHERE split = 'test'""")
+def _(spark, folder):
+    """A pipeline fitted on training rows with nulls, saved, loaded and applied to test rows; read back from its vectors."""
+    df = clean.temporal_split(base.merged(spark, folder), base.YEARS).select("flight_id", "split", "Airline", "Origin", *[F.col(c).cast("double").alias(c) for c in MEASURES])
+    df = materialize(df, "merged")
+    path = scratch(spark, "preprocess")
+    models.preprocess(["Airline", "Origin"], MEASURES, centre=True, impute="median").fit(df.where("split = 'train'")).write().save(path)
+    out = models.PipelineModel.load(path).transform(df.where("split = 'test'"))
+    names = models.vector_names(out)
+    v = models.vector_to_array("features")
+
+    def hot(prefix):
+        """The category whose slot is 1; null if none is."""
+        slots = [(i, n) for i, n in enumerate(names) if n.startswith(prefix)]
+        return F.coalesce(*[F.when(v[i] == 1, n[len(prefix):]) for i, n in slots])
+
+    first = len(names) - len(MEASURES)
+    return out.select(
+        "flight_id", hot("Airline__v_").alias("airline"), hot("Origin__v_").alias("origin"), F.size(v).alias("slots"),
+        *[v[first + i].alias(f"{c}_std") for i, c in enumerate(MEASURES)])
 
 
 @query("m2_logistic_regression", "n:i valid:i", TEST_ROWS)

@@ -39,7 +39,20 @@ def _(spark, folder):
     return profile.acf(daily_delay(spark, folder), "avg_delay", "FlightDate")
 
 
-@query("w4_pacf", "lag:i pacf:f")
+@query("w4_pacf", "lag:i pacf:f", """
+WITH d AS (SELECT FlightDate, avg(DepDelay) AS v FROM flights GROUP BY 1 HAVING avg(DepDelay) IS NOT NULL),
+     x AS (SELECT row_number() OVER (ORDER BY FlightDate) AS i, v - avg(v) OVER () AS x FROM d),
+     c AS (SELECT k, sum(a.x * b.x) / (SELECT sum(x * x) FROM x) AS r FROM (SELECT unnest(range(31)) AS k) CROSS JOIN x AS a JOIN x AS b ON b.i = a.i + k GROUP BY k),
+     acf AS (SELECT list(r ORDER BY k) AS r FROM c)
+SELECT lag, pacf FROM (
+  WITH RECURSIVE step AS (
+    SELECT 0 AS lag, CAST([] AS DOUBLE[]) AS phi, CAST(1 AS DOUBLE) AS pacf
+    UNION ALL
+    SELECT lag + 1, list_append(list_transform(range(1, lag + 1), lambda j: phi[j] - q * phi[lag + 1 - j]), q), q FROM (
+      SELECT lag, phi, (r[lag + 2] - coalesce(list_sum(list_transform(range(1, lag + 1), lambda j: phi[j] * r[lag + 2 - j])), 0))
+                     / (1 - coalesce(list_sum(list_transform(range(1, lag + 1), lambda j: phi[j] * r[j + 1])), 0)) AS q
+      FROM step, acf WHERE lag < 30))
+  SELECT lag, pacf FROM step)""")
 def _(spark, folder):
     return profile.pacf(daily_delay(spark, folder), "avg_delay", "FlightDate")
 

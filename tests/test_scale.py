@@ -135,6 +135,43 @@ def test_number_blocks_keep_order(spark):
     assert blocks == sorted(blocks)
 
 
+def test_crowded_values_spread_over_blocks(spark, monkeypatch):
+    """Epoch seconds and texts with one long prefix: over a hundred blocks, results exact."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "128")
+    stored = []
+    real = ordered.materialize
+    monkeypatch.setattr(ordered, "materialize", lambda df, label: stored.append(real(df, label)) or stored[-1])
+    ids = spark.range(2000).select(F.lit(1).alias("n"), (F.col("id") + 1_700_000_000).cast("double").alias("t"), F.concat(F.lit("x" * 40), F.format_string("%05d", "id")).alias("s"))
+    for c in ("t", "s"):
+        got = [r["cum_n"] for r in ordered.running_totals(ids.select(c, "n"), c, ["n"]).orderBy(c).collect()]
+        assert got == list(range(1, 2001)) and stored[-1].select("_block").distinct().count() > 100
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    blocks = ids.select(ordered.number_block("t", F.lit(1_700_000_000.0), F.lit(1_700_001_999.0)).alias("b")).distinct().count()
+    assert blocks > 100
+    assert {r["q"] for r in ordered.exact_quantiles(ids, ["t"], [0.5]).collect()} == {1_700_000_999.5}
+
+
+def test_quantiles_and_totals_with_infinities(spark):
+    inf, big = float("inf"), 1.7e308
+    v = [-inf, -inf, -big, -1.0, 0.0, 5e-324, 2.0, 2.0, big, inf, inf]
+    df = spark.createDataFrame([(x,) for x in v] + [(None,)], "v double")
+    got = {r["p"]: r["q"] for r in ordered.exact_quantiles(df, ["v"], [0.0, 0.2, 0.4, 0.5, 0.8, 1.0]).collect()}
+    assert got == {0.0: -inf, 0.2: -big, 0.4: 0.0, 0.5: 5e-324, 0.8: big, 1.0: inf}
+    runs = df.dropna().groupBy("v").agg(F.count("*").alias("n"))
+    totals = {r["v"]: r["cum_n"] for r in ordered.running_totals(runs, "v", ["n"]).collect()}
+    assert totals == {-inf: 2, -big: 3, -1.0: 4, 0.0: 5, 5e-324: 6, 2.0: 8, big: 9, inf: 11}
+
+
+def test_cuts_of_groups_do_not_move_the_rows(spark, skewed):
+    _, df = skewed
+    cut = ordered.cut_by_hash(df, [lambda n: n / 2], ["id"], ["key"])
+    plan = plan_of(cut)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    counts = {(r["key"], r["part"]): r["count"] for r in cut.groupBy("key", "part").count().collect()}
+    assert all(counts.get((k, 0), 0) == n // 2 for k, n in ((r["key"], r["count"]) for r in df.groupBy("key").count().collect()))
+
+
 def test_running_totals_match_pandas(spark, skewed):
     pdf, df = skewed
     counts = df.groupBy("x").agg(F.count("*").alias("n"))
