@@ -372,16 +372,25 @@ def _(spark, folder):
     return spark.read.schema(enriched.schema).parquet(out)
 
 
+FILES = 8
+BATCHES: dict[str, list] = {}  # of each run of the stream: (batch, rows, rows too late)
+
+
 @query("r2_stream_hourly_weather", "airport_code:s w_date:d w_hour:i tmpf:f vsby:f p01i:f gust:f", """
 SELECT airport_code, w_date, w_hour, tmpf, vsby, p01i, gust FROM hourly
 WHERE CAST(w_date AS TIMESTAMP) + to_hours(w_hour + 1) <= (SELECT max(valid) FROM weather) - INTERVAL 2 HOURS""")
 def _(spark, folder):
+    """Observations arrive in the order of their time, in several micro-batches; rows of the first day that come last are too late."""
     source, out, state = (scratch(spark, n) for n in ("observations", "hours", "state"))
     obs = base.weather(spark, folder)
-    obs.coalesce(1).write.parquet(source)
-    stream = ingest.stream_table(spark, source, obs.schema)
+    ingest.write_in_order(obs, source, "valid", FILES)
+    first = obs.agg(F.min("valid")).scalar()
+    ingest.write_in_order(obs.where(F.col("valid") < first + F.expr("INTERVAL 1 DAY")).withColumn("tmpf", F.lit(999.0)), source, "valid", 1)
+    stream = ingest.stream_table(spark, source, obs.schema, files_per_batch=2)
     hours = ingest.stream_hourly_weather(stream, "2 hours")
-    ingest.write_available(hours, out, state).awaitTermination()
+    run = ingest.write_available(hours, out, state)
+    run.awaitTermination()
+    BATCHES[out] = [(p["batchId"], p["numInputRows"], sum(o["numRowsDroppedByWatermark"] for o in p["stateOperators"])) for p in map(dict, run.recentProgress)]
     return spark.read.schema(hours.schema).parquet(out)
 
 

@@ -1,5 +1,7 @@
 """Operators under hot keys, copies and ties, against brute force."""
 
+import os
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -339,3 +341,35 @@ def test_a_cap_on_fitted_rows_does_not_change_the_fills(spark):
     settings = {"maxIter": 1, "maxDepth": 2}
     fit = lambda cap: models.fit_cascade(df, ["a", "b"], "id", None, 10, cap, settings_a=settings, settings_b=settings)
     assert fit(60).fills == fit(None).fills
+
+
+def test_stream_runs_in_batches_and_drops_late_rows(spark, folder):
+    from contrail.plans import queries_models
+    from contrail.plans.catalog import QUERIES
+
+    obs = base.weather(spark, folder)
+    got = QUERIES["r2_stream_hourly_weather"].run(spark, folder)
+    batches = list(queries_models.BATCHES.values())[-1]
+    late = obs.where(F.col("valid") < obs.agg(F.min("valid")).scalar() + F.expr("INTERVAL 1 DAY")).count()
+    assert sum(rows > 0 for _, rows, _ in batches) >= 4 and sum(rows for _, rows, _ in batches) == obs.count() + late
+    assert sum(dropped for _, _, dropped in batches) > 0 and got.where("tmpf > 900").count() == 0
+
+
+def test_stored_tables_go_with_their_job(spark, folder, tmp_path):
+    before = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    root = session.shared_dir(spark).removeprefix("file:")
+    left = lambda: sorted(os.listdir(root))
+    inputs = [base.flights, base.weather, base.opsnet, base.causes, base.airports, base.runways]
+    tables = [load(spark, folder) for load in inputs]
+    start = left()
+    with session.stored_tables(spark):
+        final = jobs.build_dataset(*tables, base.YEARS_OUT, base.CAUSE_YEARS)
+        assert left() != start
+        modeling = session.stored_result(spark, lambda: jobs.build_features(session.materialize(final, "final"), base.YEARS, keep=["flight_id"]), "modeling")
+        assert modeling.count() > 0
+    with pytest.raises(ZeroDivisionError), session.stored_tables(spark):
+        session.materialize(spark.range(3), "lost")
+        raise ZeroDivisionError
+    assert left() == start
+    spark.sparkContext.setCheckpointDir(before)
