@@ -51,36 +51,98 @@ def test_licences(spark):
     rows = [(1, PROSE + "\nLicensed under the Apache License, Version 2.0.", "s/1/2"), (2, "plain", "s/1/2"), (3, "plain", "s/1/3"),
             (4, "Released under the MIT License.", "s/1"), (5, None, None), (6, "the of and to", "t/1/1"), (6, "the of and to", "t/1/1")]
     df = spark.createDataFrame(rows, "doc_id long, text string, dir string")
-    got = rows_of(licences.assign(df, licences.scan_lines(df)).select("doc_id", "licence", "inherited_from"))
+    got = rows_of(licences.assign(df, licences.scan(df)).select("doc_id", "licence", "inherited_from"))
     assert got == sorted([(1, "Apache-2.0", None), (2, "Apache-2.0", "s/1/2"), (3, "MIT", "s/1"), (4, "MIT", None), (5, None, None),
                           (6, None, None), (6, None, None)], key=lambda r: tuple((v is None, str(v)) for v in r))
     none = df.limit(0)
-    assert licences.assign(none, licences.scan_lines(none)).count() == 0
+    assert licences.assign(none, licences.scan(none)).count() == 0
+
+
+def plain_licences(rows):
+    """{place of a row: [(similarity, licence, start)]}: all passages by plain cosines, over words in dictionaries."""
+    words = [licences.template_words(t or "") for _, t in rows]
+    df = Counter(w for ws in words for w in set(ws))
+    idf = lambda w: math.log((1 + len(rows)) / (1 + df[w])) + 1
+    vector = lambda ws: {w: n * idf(w) for w, n in Counter(ws).items()}
+
+    def cosine(a, b):
+        norm = math.sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values()))
+        return sum(v * b.get(w, 0) for w, v in a.items()) / norm if norm else 0
+
+    out = defaultdict(list)
+    for name, text in licences.TEMPLATES:
+        mine = licences.template_words(text)
+        template, size = vector(mine), len(mine)
+        for i, ws in enumerate(words):
+            if cosine(vector([w for w in ws if w in template]), template) == 0:
+                continue
+            options = []
+            for start in range(len(ws)):
+                if ws[start] in template:
+                    part = ws[start : start + size]
+                    likeness = cosine(vector([w for w in part if w in template]), template)
+                    shared = math.sqrt(sum(template[w] ** 2 for w in set(part) if w in template) / sum(v * v for v in template.values()))
+                    if likeness >= licences.LEAST - 1e-9 and shared >= licences.LEAST - 1e-9:
+                        options.append((-round(likeness, 9), start))
+            taken = []
+            for _, start in sorted(options):
+                if all(abs(start - t) >= size for t in taken):
+                    taken.append(start)
+                    exact = round(cosine(vector(ws[start : start + size]), template), 9)
+                    if exact >= licences.LEAST:
+                        out[i].append((exact, name, start))
+    return out
+
+
+NOTICES = [
+    "Copyright 2021 Acme. Released under the MIT License.", "MIT License\n\nCopyright (c) 2020 A. Nyone\n\n" + licences.GRANT.replace(" to ", "\n * to "), "SPDX-License-Identifier: BSD-3-Clause",
+    "// Copyright the authors\n// " + licences.APACHE, "# " + licences.GNU.format(name="General Public License", version=3) + "\n" + PROSE * 5, "the mit licensed people of the public",
+    licences.BSD + " " + licences.NO_NAMES, PROSE * 200 + "Released under the MIT License. " + PROSE * 200, "license", "Permission is hereby granted, free of charge, to any person",
+]
 
 
-def test_licence_cosine_is_brute_force(spark, docs):
-    texts = docs.limit(120).unionByName(docs.where(F.lower("text").contains("licen"))).select("doc_id", "text").distinct()
-    rows = texts.collect()
-    df, n = Counter(), len(rows)
-    vocabulary = {w for t in licences.TEMPLATES.values() for w in licences.template_words(t)}
-    for r in rows:
-        df.update(vocabulary & set(licences.template_words(r.text or "")))
-    weight = lambda w: licences.idf(n, df[w]) if w in vocabulary else licences.idf(n, 0)
+def test_licence_passages_are_brute_force(spark, docs):
+    rows = [(r.doc_id, r.text) for r in docs.where(F.length("text") < 4000).select("doc_id", "text").collect()]
+    rows += [(10**6 + i, t) for i, t in enumerate(NOTICES)] + [(None, NOTICES[0]), (10**6, NOTICES[0]), (10**7, None), (10**7 + 1, "")]
+    plain = plain_licences(rows)
+    want = [(rows[i][0], start, name, x) for i, found in plain.items() for x, name, start in found]
+    got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string").withColumn("word", F.lit("w"))).collect()
+    key = lambda r: (str(r[0]), *r[1:3], round(r[3], 6))
+    assert sorted(map(key, got)) == sorted(map(key, want))
+    best = {i: max(found)[1] for i, found in plain.items()}
+    first = len(rows) - len(NOTICES) - 4
+    assert [best.get(first + i) for i in range(7)] == ["MIT", "MIT", "BSD-3-Clause", "Apache-2.0", "GPL-3.0-or-later", None, "BSD-3-Clause"] and best[first + 7] == "MIT" and first + 8 not in best
+
+
+def test_licence_query_is_brute_force(spark, folder):
+    rows = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    own = {rows[i][0]: min((-x, name) for x, name, _ in found)[1] for i, found in plain_licences([r[:2] for r in rows]).items()}
+    place = {}
+    for d, _, source in rows:
+        parts = [source or "none", str(d // 1000), str(d // 100), str(d // 10)]
+        place[d] = "/".join(parts[: {0: 2, 1: 3}.get(d % 4, 4)])
+    votes = defaultdict(Counter)
+    for d, name in own.items():
+        votes[place[d]][name] += 1
     want = []
-    for r in rows:
-        for i, line in enumerate((r.text or "").split("\n")):
-            a = {w: c * weight(w) for w, c in licences.template_words(line).items()}
-            best = []
-            for name, t in licences.TEMPLATES.items():
-                b = {w: c * weight(w) for w, c in licences.template_words(t).items()}
-                dot = sum(a.get(w, 0) * v for w, v in b.items())
-                norm = math.sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values()))
-                best.append((-round(dot / norm, 9) if norm else 0, name))
-            far, name = min(best)
-            if -far >= licences.LEAST:
-                want.append((r.doc_id, i, name))
-    got = licences.scan_lines(texts).select("doc_id", "line", "licence").collect()
-    assert sorted(map(tuple, got)) == sorted(want)
+    for d, *_ in rows:
+        name, at = own.get(d), None
+        if name is None:
+            parts = place[d].split("/")
+            above = ["/".join(parts[:n]) for n in range(len(parts), 0, -1)]
+            at = next((p for p in above if p in votes), None)
+            name = min((-n, x) for x, n in votes[at].items())[1] if at else None
+        want.append((d, name, at))
+    got = [(r.doc_id, r.licence, r.inherited_from) for r in queries.QUERIES["op1_license_scan"](spark, folder).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_licences_come_down_from_upper_directories(spark):
+    """On a thousand documents some inherit from further above than their own directory."""
+    folder = "/root/testdata/sf0.01"
+    deep = {0: 1, 1: 2}
+    got = queries.QUERIES["op1_license_scan"](spark, folder).where("inherited_from is not null").collect()
+    assert any(r.inherited_from.count("/") < deep.get(r.doc_id % 4, 3) for r in got) and all(r.licence for r in got)
 
 
 # 2 near-duplicates
