@@ -4,7 +4,8 @@ Every distinct text is stored once and gets a fingerprint, its shingles' parity
 share one of those. A shingle that only one text offers is dropped at once. Large groups are linked through one member of each
 shingle's texts, another one in each round, so a group of near copies never yields all its pairs. Only what is still apart is compared
 in pairs, inside tasks of bounded size, and a pair leaves its task only if lengths, places and parity bits (the shingles in which two texts
-differ change at least as many of them as they differ in) leave it possible. These few are checked on the texts themselves.
+differ change at least as many of them as they differ in) leave it possible. Of a text's pairs with one component, one is checked on the texts
+themselves; if all that are checked hold, the components are right, and only if some keep failing all pairs are checked.
 """
 
 from __future__ import annotations
@@ -21,14 +22,15 @@ from pyspark.sql import functions as F
 
 from contrail.llm.arrays import give_back, runs
 from contrail.llm.simhash import components, fingerprint, near_fingerprints
-from contrail.session import materialize
+from contrail.session import materialize, stored_result
 
 WIDE = 5  # words of a shingle
 SAMPLE = 4_000  # texts in which frequent shingles are looked for
 LATE = 50_000  # frequent shingles that come last in the order
 HOT = 100  # a shingle in one of so many sampled texts is dealt out by text
 SALTS = 64
-ROUNDS = 2  # in which texts meet one member of their group, before pairs
+ROUNDS = 2  # in which each text meets one other of its shingles
+SPANS = 3  # rounds after those, in which a text meets one of each other component that it may belong to
 GROUP = 1_000  # texts of a shingle that a task compares with each other, or with as many others
 ROWS = 50_000  # texts and shingles for which there is a task
 PARITY = 11  # bits of a shingle's hash that say which of 2,048 parity bits it flips
@@ -162,7 +164,7 @@ def _possible(x: str, y: str) -> Column:
 
 
 def _text_pairs(texts: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
-    """Of pairs (left, right), those whose texts are alike, stored."""
+    """Of stored pairs (left, right), those whose texts are alike, stored."""
 
     @F.pandas_udf("boolean")
     def compare(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -172,7 +174,6 @@ def _text_pairs(texts: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
         kept.cache_clear()
         give_back()
 
-    pairs = materialize(pairs, f"{label}-possible")
     ids = pairs.select(F.explode(F.array("left", "right")).alias("id")).distinct()
     some = F.broadcast(ids) if pairs.count() <= SMALL_IDS // 2 else ids
     used = materialize(texts.join(some, "id", "left_semi").select("id", "text"), f"{label}-texts")
@@ -196,10 +197,22 @@ def _labelled(open_: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     return materialize(rows.join(apart.select("shingle", "texts"), "shingle"), label)
 
 
-def _pairs_apart(open_: DataFrame, prints: DataFrame) -> DataFrame:
+def spanning(x: np.ndarray, y: np.ndarray, ids: np.ndarray, label: np.ndarray, turn: int) -> np.ndarray:
+    """Of pairs (places x, y), the places of one for each text and other component; the text is of the component with fewer rows here."""
+    _, of, size = np.unique(label, return_inverse=True, return_counts=True)
+    swap = size[of[x]] > size[of[y]]
+    text, other = np.where(swap, y, x), np.where(swap, x, y)
+    mixed = (ids[other].astype(np.uint64) * np.uint64(ODD[turn % WIDE])) >> np.uint64(16)
+    order = np.lexsort((mixed, label[other], ids[text]))
+    first = np.ones(len(order), bool)
+    first[1:] = (ids[text][order][1:] != ids[text][order][:-1]) | (label[other][order][1:] != label[other][order][:-1])
+    return order[first]
+
+
+def _pairs_apart(open_: DataFrame, prints: DataFrame, turn: int | None) -> DataFrame:
     """Pairs (left, right) of one shingle and different components that may be alike, compared in tasks of bounded size.
 
-    A shingle with many texts has several parts; each task gets two of them.
+    A shingle with many texts has several parts; each task gets two of them. With ``turn``, only ``spanning`` ones leave their task.
     """
     schema = pa.schema([("left", pa.int64()), ("right", pa.int64())])
 
@@ -221,9 +234,17 @@ def _pairs_apart(open_: DataFrame, prints: DataFrame) -> DataFrame:
                     keep &= ids[i] < ids[j]
                 i, j = i[keep], j[keep]
                 near = 9 * np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64) <= n[i] + n[j]
-                left.append(np.minimum(ids[i[near]], ids[j[near]]))
-                right.append(np.maximum(ids[i[near]], ids[j[near]]))
-        return pa.table([np.concatenate(left or [ids[:0]]), np.concatenate(right or [ids[:0]])], schema=schema)
+                i, j = i[near], j[near]
+                if turn is not None:
+                    some = spanning(i, j, ids, label, turn)
+                    i, j = i[some], j[some]
+                left.append(i)
+                right.append(j)
+        i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+        if turn is not None:
+            some = spanning(i, j, ids, label, turn)
+            i, j = i[some], j[some]
+        return pa.table([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])], schema=schema)
 
     buckets = 1 + open_.count() // ROWS
     parts = F.ceil(F.col("texts") / GROUP).cast("int")
@@ -244,18 +265,24 @@ def text_links(texts: DataFrame, prints: DataFrame, hot: np.ndarray) -> DataFram
     links = materialize(near.unionByName(same), "text-links")
     open_ = shared_shingles(prints, hot)
     one = F.struct("id", "n", "place", "label")
-    for turn in range(ROUNDS + 1):
+    for turn in range(ROUNDS + SPANS + 1):
         open_ = _labelled(open_, components(links, f"texts-{turn}"), f"open-shingles-{turn}")
         if open_.isEmpty():
             return links
         if turn < ROUNDS:
             lead = open_.groupBy("shingle").agg(F.min_by(one, F.xxhash64("id", F.lit(turn))).alias("y"))
             pairs = open_.select("shingle", one.alias("x")).join(lead, "shingle").where((F.col("x.label") != F.col("y.label")) & _possible("x", "y"))
-            pairs = pairs.select(F.least("x.id", "y.id").alias("left"), F.greatest("x.id", "y.id").alias("right")).distinct()
-            pairs = _parity_leaves_open(pairs, prints)
+            # a text meets one lead, the first in an order that all texts follow
+            met = pairs.groupBy("x.id").agg(F.min_by("y.id", F.xxhash64("y.id", F.lit(turn))).alias("lead"))
+            pairs = met.select(F.least("id", "lead").alias("left"), F.greatest("id", "lead").alias("right")).distinct()
+            pairs = materialize(_parity_leaves_open(pairs, prints), f"text-links-{turn}-possible")
         else:
-            pairs = _pairs_apart(open_, prints)
-        links = links.unionByName(_text_pairs(texts, pairs, f"text-links-{turn}"))
+            last = turn == ROUNDS + SPANS
+            pairs = materialize(_pairs_apart(open_, prints, None if last else turn), f"text-links-{turn}-possible")
+        found = _text_pairs(texts, pairs, f"text-links-{turn}")
+        links = links.unionByName(found)
+        if turn >= ROUNDS and found.count() == pairs.count():
+            return links
         open_ = open_.select("shingle", "id", "n", "place")
     return links
 
@@ -280,6 +307,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     the group's smallest key stays; of rows that repeat that key, one does. Rows whose key is null stay all, since they cannot be
     told apart. Null and empty texts are alike. An empty table gives an empty table.
     """
-    kept = materialize(near_groups(docs, key, text).select(F.col("component_id").alias(key)).where(F.col(key).isNotNull()).distinct(), "kept-keys")
+    kept = stored_result(
+        docs.sparkSession, lambda: near_groups(docs, key, text).select(F.col("component_id").alias(key)).where(F.col(key).isNotNull()).distinct(), "kept-keys")
     named = docs.where(F.col(key).isNotNull()).join(kept, key, "left_semi").select(*docs.columns)
     return named.dropDuplicates([key]).unionByName(docs.where(F.col(key).isNull()))

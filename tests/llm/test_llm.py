@@ -215,9 +215,10 @@ def plain_groups(rows):
     return label
 
 
-@pytest.mark.parametrize("rounds", [0, 2])
-def test_near_texts_are_brute_force(spark, rounds, monkeypatch):
+@pytest.mark.parametrize("rounds, spans", [(0, 0), (0, 3), (2, 3)])
+def test_near_texts_are_brute_force(spark, rounds, spans, monkeypatch):
     monkeypatch.setattr(near_texts, "ROUNDS", rounds)
+    monkeypatch.setattr(near_texts, "SPANS", spans)
     monkeypatch.setattr(near_texts, "GROUP", 3)
     import random
 
@@ -258,13 +259,13 @@ def test_stock_sentences_stay_apart(spark, monkeypatch):
     rng, counted = random.Random(8), []
     stock = [" ".join(f"s{i}w{j}" for j in range(12)) + "." for i in range(60)]
     real = near_texts._pairs_apart
-    monkeypatch.setattr(near_texts, "_pairs_apart", lambda rows, prints: (counted.append(rows.count()), real(rows, prints))[1])
+    monkeypatch.setattr(near_texts, "_pairs_apart", lambda rows, prints, turn: (counted.append(rows.count()), real(rows, prints, turn))[1])
     monkeypatch.setattr(near_texts, "ROUNDS", 0)
     for n in (200, 400):
         df = spark.createDataFrame([(i, " ".join(rng.sample(stock, 12) + [f"own{i}"])) for i in range(n)], "doc_id long, text string")
         kept = near_texts.one_of_each(df)
         assert kept.count() == len(set(plain_groups([(r.doc_id, r.text) for r in df.collect()]).values()))
-    assert counted[0] <= 200 * 31 and counted[1] <= 400 * 31  # a fifth of a text's shingles at most
+    assert counted[0] <= 200 * 31 and counted[-1] <= 400 * 31  # a fifth of a text's shingles at most
 
 
 # 3 tokens
