@@ -516,7 +516,7 @@ def _(spark, folder):
 @query("job7_eda_report", "table:s n:i")
 def _(spark, folder):
     flights, merged = base.labelled(spark, folder), base.merged(spark, folder)
-    report = jobs.eda_report(flights, merged)
+    report = jobs.eda_report(flights, merged, base.weather(spark, folder))
     parts = [t.agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n") for name, t in report.items()]
     return clean.union_parts(*parts)
 
