@@ -197,10 +197,9 @@ def _labelled(open_: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     return materialize(rows.join(apart.select("shingle", "texts"), "shingle"), label)
 
 
-def spanning(x: np.ndarray, y: np.ndarray, ids: np.ndarray, label: np.ndarray, turn: int) -> np.ndarray:
-    """Of pairs (places x, y), the places of one for each text and other component; the text is of the component with fewer rows here."""
-    _, of, size = np.unique(label, return_inverse=True, return_counts=True)
-    swap = size[of[x]] > size[of[y]]
+def spanning(x: np.ndarray, y: np.ndarray, ids: np.ndarray, label: np.ndarray, size: np.ndarray, turn: int) -> np.ndarray:
+    """Of pairs (places x, y), the places of one for each text and other component; the text is of the component with fewer rows (``size``)."""
+    swap = size[x] > size[y]
     text, other = np.where(swap, y, x), np.where(swap, x, y)
     mixed = (ids[other].astype(np.uint64) * np.uint64(ODD[turn % WIDE])) >> np.uint64(16)
     order = np.lexsort((mixed, label[other], ids[text]))
@@ -222,10 +221,12 @@ def _pairs_apart(open_: DataFrame, prints: DataFrame, turn: int | None) -> DataF
         shingle, ids, n, place, label, part = (column(c) for c in ("shingle", "id", "n", "place", "label", "part"))
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
         bits = table.column("parity").combine_chunks().flatten().to_numpy().reshape(len(ids), -1).view(np.uint64)
+        _, of, rows = np.unique(label, return_inverse=True, return_counts=True)
+        rows = rows[of]
         left, right = [], []
         for a, size in zip(*(x.tolist() for x in runs(np.concatenate([[True], shingle[1:] != shingle[:-1]])))):
             mine = np.arange(a, a + size)
-            ours, theirs = mine[part[mine] == low], mine[part[mine] == high]
+            ours, theirs = (mine, mine) if low == high == 0 else (mine[part[mine] == low], mine[part[mine] == high])
             for start in range(0, len(ours), 128):
                 x = ours[start : start + 128]
                 i, j = (k.ravel() for k in np.meshgrid(x, theirs, indexing="ij"))
@@ -233,16 +234,18 @@ def _pairs_apart(open_: DataFrame, prints: DataFrame, turn: int | None) -> DataF
                 if low == high:
                     keep &= ids[i] < ids[j]
                 i, j = i[keep], j[keep]
+                if not len(i):
+                    continue
                 near = 9 * np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64) <= n[i] + n[j]
                 i, j = i[near], j[near]
-                if turn is not None:
-                    some = spanning(i, j, ids, label, turn)
+                if turn is not None and len(i) > 1000:
+                    some = spanning(i, j, ids, label, rows, turn)
                     i, j = i[some], j[some]
                 left.append(i)
                 right.append(j)
         i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
         if turn is not None:
-            some = spanning(i, j, ids, label, turn)
+            some = spanning(i, j, ids, label, rows, turn)
             i, j = i[some], j[some]
         return pa.table([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])], schema=schema)
 
