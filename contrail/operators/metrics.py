@@ -156,8 +156,9 @@ def threshold_sweep(
     label: str = "target",
     cancel: str = "prob_cancel",
     delay: str = "prob_delay",
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Metrics of every threshold pair (thresholds in hundredths).
+    """Metrics of every threshold pair (thresholds in hundredths), for each group of ``by``.
 
     A row's outcome at every pair depends only on how many thresholds each score passes, so rows are counted
     by (label, passed_a, passed_b) first: at most 3 * (len(tas) + 1) * (len(tbs) + 1) groups, one small shuffle.
@@ -165,7 +166,7 @@ def threshold_sweep(
     """
     tas, tbs = sorted(tas), sorted(tbs)
     passed = df.groupBy(
-        F.col(label).alias("label"), _passed(cancel, tas).alias("a"), _passed(delay, tbs).alias("b")
+        *by, F.col(label).alias("label"), _passed(cancel, tas).alias("a"), _passed(delay, tbs).alias("b")
     ).agg(F.count("*").alias("n"))
     grid = F.array(*[
         F.struct(F.lit(i + 1).alias("i"), F.lit(j + 1).alias("j"), F.lit(ta / 100).alias("ta"), F.lit(tb / 100).alias("tb"))
@@ -173,13 +174,14 @@ def threshold_sweep(
         for j, tb in enumerate(tbs)
     ])
     laid = passed.withColumn("g", F.explode(grid)).select(
+        *by,
         F.col("g.ta").alias("thresh_a"),
         F.col("g.tb").alias("thresh_b"),
         "label",
         F.when(F.col("a") >= F.col("g.i"), 2).when(F.col("b") >= F.col("g.j"), 1).otherwise(0).alias("prediction"),
         "n",
     )
-    keys = ["thresh_a", "thresh_b"]
+    keys = [*by, "thresh_a", "thresh_b"]
     cells = laid.groupBy(*keys, "label", "prediction").agg(F.sum("n").alias("n"))
     classes = per_class(cells, keys).where("support > 0 or predicted > 0")
 

@@ -318,3 +318,15 @@ def hybrid_resample(
     grown = smote(df, features, label, key, over, k, seed)
     grown = materialize(grown, "grown")
     return undersample(grown, label, under, ["row_id"], seed)
+
+
+def resample(
+    df: DataFrame, features: Sequence[str], label: str, key: str, over: float | None = None, under: float | None = None, seed: int = 42
+) -> DataFrame:
+    """Features and label after synthetic rows up to ``over`` and a cut of the majority to ``under``, each only if given."""
+    if over is not None and under is not None:
+        return hybrid_resample(df, features, label, key, over, under, seed=seed)
+    if over is not None:
+        return smote(df, features, label, key, over, seed=seed)
+    own = df.select(key, label, *features)
+    return own if under is None else undersample(own, label, under, [key], seed)

@@ -513,6 +513,68 @@ def _(spark, folder):
     return metrics.prediction_counts(jobs.score(modeling.where("split = 'test'"), path))
 
 
+def _sample_sql() -> str:
+    """Sizes of all samples: the minority grown to ``over`` of the majority first, then the majority cut to minority / ``under``."""
+    rows = [
+        f"('{label}', '{name}', {over or 0}::DOUBLE, {under or 0}::DOUBLE)"
+        for label, samples in (("is_cancelled", models.CANCEL_SAMPLES), ("is_delayed", models.DELAY_SAMPLES)) for name, (over, under) in samples.items()
+    ]
+    return f"""
+WITH t AS (SELECT * FROM splits WHERE split = 'train'),
+     s AS (SELECT * FROM (VALUES {", ".join(rows)}) v(label, name, over, under)),
+     c AS (SELECT 'is_cancelled' AS label, count_if(is_cancelled = 1) AS pos, count_if(is_cancelled = 0) AS neg FROM t
+           UNION ALL SELECT 'is_delayed', count_if(is_delayed = 1), count_if(is_delayed = 0) FROM t WHERE is_cancelled = 0),
+     g AS (SELECT label, name, under, greatest(pos, floor(neg * over)) AS pos, neg FROM s JOIN c USING (label)),
+     m AS (SELECT *, CASE WHEN under > 0 THEN floor(least(pos, neg) / under) ELSE pos + neg END AS room FROM g)
+SELECT label, name, CAST(least(pos, neg) + least(greatest(pos, neg), room) AS BIGINT) AS rows,
+       CAST(CASE WHEN pos <= neg THEN pos ELSE least(pos, room) END AS BIGINT) AS positives FROM m"""
+
+
+@query("job8_resampled_sizes", "label:s name:s rows:i positives:i", _sample_sql())
+def _(spark, folder):
+    numbers, _fills = jobs.training_numbers(learnable(spark, folder), "flight_id", NUMBERS, None, 42)
+    parts = jobs.resampled_rows(numbers, "flight_id", NUMBERS)
+    return clean.union_parts(*[
+        rows.agg(F.count("*").alias("rows"), F.sum(label).alias("positives")).select(F.lit(label).alias("label"), F.lit(name).alias("name"), "rows", "positives")
+        for (label, name), rows in parts.items()])
+
+
+@query("job8_resampling_experiment", "model_a:s model_b:s thresh_a:f thresh_b:f val_rows:i f1_agrees:i prauc_agrees:i", f"""
+SELECT a AS model_a, b AS model_b, ta / 100 AS thresh_a, tb / 100 AS thresh_b, (SELECT count(*) FROM splits WHERE split = 'val') AS val_rows, 1 AS f1_agrees, 1 AS prauc_agrees
+FROM (SELECT unnest({list(models.CANCEL_SAMPLES)}) AS a), (SELECT unnest({list(models.DELAY_SAMPLES)}) AS b),
+     (SELECT unnest({K.RESAMPLE_GRID[0]}) AS ta), (SELECT unnest({K.RESAMPLE_GRID[1]}) AS tb)""")
+def _(spark, folder):
+    """All pairs of models and thresholds; macro F1 and average precision computed again by SQL from the stored scores."""
+    kept = []
+    _, sweep, samples = jobs.resampling_experiment(learnable(spark, folder), "flight_id", None, settings=SMALL, features=NUMBERS, keep=kept.append)
+    (scored,) = kept
+    stack = lambda label, names: F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"{label}__{n}").alias("p")) for n in names])
+    long = scored.select("target", "is_cancelled", "is_delayed", stack("is_cancelled", models.CANCEL_SAMPLES).alias("cancels"), stack("is_delayed", models.DELAY_SAMPLES).alias("delays"))
+    again = spark.sql("""
+WITH g AS (SELECT model_a, model_b, ta, tb, target, CASE WHEN pa >= ta / 100 THEN 2 WHEN pb >= tb / 100 THEN 1 ELSE 0 END AS guess
+           FROM (SELECT target, a.name AS model_a, a.p AS pa, b.name AS model_b, b.p AS pb
+                 FROM {long} LATERAL VIEW explode(cancels) AS a LATERAL VIEW explode(delays) AS b)
+           LATERAL VIEW explode(sequence(10, 55, 5)) AS ta LATERAL VIEW explode(sequence(10, 55, 5)) AS tb),
+     n AS (SELECT model_a, model_b, ta, tb, count(*) AS val_rows,
+             count_if(target = 0) AS s0, count_if(target = 1) AS s1, count_if(target = 2) AS s2, count_if(guess = 0) AS g0, count_if(guess = 1) AS g1, count_if(guess = 2) AS g2,
+             count_if(target = 0 AND guess = 0) AS h0, count_if(target = 1 AND guess = 1) AS h1, count_if(target = 2 AND guess = 2) AS h2 FROM g GROUP BY ALL),
+     f AS (SELECT *, try_divide(2 * h0, s0 + g0) AS f0, try_divide(2 * h1, s1 + g1) AS f1, try_divide(2 * h2, s2 + g2) AS f2 FROM n)
+SELECT model_a, model_b, ta / 100 AS thresh_a, tb / 100 AS thresh_b, val_rows,
+       (coalesce(f0, 0) + coalesce(f1, 0) + coalesce(f2, 0)) / (int(f0 IS NOT NULL) + int(f1 IS NOT NULL) + int(f2 IS NOT NULL)) AS own_f1 FROM f""", long=long)
+    curves = spark.sql("""
+WITH s AS (SELECT 'is_cancelled' AS label, m.name, m.p, is_cancelled AS y FROM {long} LATERAL VIEW explode(cancels) AS m
+           UNION ALL SELECT 'is_delayed', m.name, m.p, is_delayed FROM {long} LATERAL VIEW explode(delays) AS m WHERE is_cancelled = 0),
+     t AS (SELECT label, name, p, count(*) AS n, sum(y) AS pos FROM s GROUP BY ALL),
+     u AS (SELECT *, sum(pos) OVER w AS hits, sum(n) OVER w AS taken, sum(pos) OVER (PARTITION BY label, name) AS all_pos FROM t
+           WINDOW w AS (PARTITION BY label, name ORDER BY p DESC))
+SELECT label, name, sum(pos / all_pos * hits / taken) AS own FROM u GROUP BY ALL""", long=long)
+    right = samples.join(curves, ["label", "name"]).agg(F.sum((F.abs(F.col("pr_auc") - F.col("own")) < 1e-6).cast("int")).alias("agree"))
+    agree = (F.lit(len(models.CANCEL_SAMPLES) + len(models.DELAY_SAMPLES)) == right.scalar()).cast("int")
+    both = sweep.join(again, ["model_a", "model_b", "thresh_a", "thresh_b"])
+    return both.select(
+        "model_a", "model_b", "thresh_a", "thresh_b", "val_rows", (F.abs(F.col("macro_f1") - F.col("own_f1")) < 1e-4).cast("int").alias("f1_agrees"), agree.alias("prauc_agrees"))
+
+
 @query("job7_eda_report", "table:s n:i")
 def _(spark, folder):
     flights, merged = base.labelled(spark, folder), base.merged(spark, folder)
