@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from contrail import session
-from contrail.operators import association, features, lookups, metrics, models, ordered, profile, sampling
+from contrail.operators import association, enrich, features, lookups, metrics, models, ordered, profile, sampling
 from contrail.plans import base, jobs
+from contrail.plans.adapters import view
 
 
 @pytest.fixture(scope="module")
@@ -83,6 +84,16 @@ def test_airport_tables_stay_broadcast(spark, folder):
     assert "SortMergeJoin" not in plan_of(final) and "_salt_" not in plan_of(final)
 
 
+def test_runways_are_dealt_out_and_neither_stored_nor_moved(spark, folder):
+    """The view's rows, many times those of its tables, come from many tasks and are summed up before anything moves them."""
+    rows = base.runways(spark, folder)
+    assert rows.exceptAll(view(spark, folder, "runways")).isEmpty() and view(spark, folder, "runways").exceptAll(rows).isEmpty()
+    assert rows.select(F.spark_partition_id()).distinct().count() > 1
+    plan = enrich.runway_profile(rows, base.airports(spark, folder))._jdf.queryExecution().executedPlan().toString()
+    assert "part.parquet" in plan and 0 < plan.index("partial_count") < plan.index("p_size")
+    assert "hashpartitioning" not in plan[plan.index("partial_count") : plan.index("Join", plan.index("partial_count"))]
+
+
 def test_flight_history_is_summed_on_the_map_side(spark, folder):
     """One scan and one exchange; what tasks hand over are airport-days, airlines and regions, not flights."""
     df = base.splits(spark, folder).selectExpr("*", "Airline _airline", "Origin _origin", "region _region")
