@@ -384,3 +384,12 @@ def test_stored_tables_go_with_their_job(spark, folder, tmp_path):
         raise ZeroDivisionError
     assert left() == start
     spark.sparkContext.setCheckpointDir(before)
+
+
+def test_ranges_of_many_columns_are_one_table(spark):
+    """The ranges are planned once, not as a scalar query for each column and use."""
+    names = [f"c{i}" for i in range(12)]
+    df = spark.range(50).select(*[(F.col("id") * (i + 1)).alias(n) for i, n in enumerate(names)])
+    found = ordered.quantile_row(df, names)
+    assert "scalar-subquery" not in found._jdf.queryExecution().analyzed().toString()
+    assert list(found.first()) == [24.5 * (i + 1) for i in range(12)]
