@@ -393,3 +393,19 @@ def test_ranges_of_many_columns_are_one_table(spark):
     found = ordered.quantile_row(df, names)
     assert "scalar-subquery" not in found._jdf.queryExecution().analyzed().toString()
     assert list(found.first()) == [24.5 * (i + 1) for i in range(12)]
+
+
+def test_synthetic_rows_broadcast_no_table_of_minority_rows(spark):
+    """The joins on the rows' ids are merged, though these tables are small."""
+    df = spark.range(400).selectExpr("id", "id % 17 * 1.5 AS a", "id % 23 * 1.0 AS b", "CAST(id % 5 = 0 AS INT) AS y")
+    grown = sampling.smote(df, ["a", "b"], "y", "id", 0.9)
+    assert grown.where("synthetic = 1").count() == int(320 * 0.9) - 80
+    plan = grown._jdf.queryExecution().sparkPlan().toString()
+    assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and ("[id" in line or "[near_id" in line)]
+
+
+def test_distances_are_taken_in_slices():
+    """A batch of any length makes matrices of ``SLICE`` rows at most, every row once."""
+    pdf = pd.DataFrame({"id": range(2 * sampling.SLICE + 3)})
+    parts = list(sampling._slices(iter([pdf, pdf.iloc[:0]])))
+    assert [len(p) for p in parts] == [sampling.SLICE, sampling.SLICE, 3] and pd.concat(parts).equals(pdf)
