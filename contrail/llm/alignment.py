@@ -15,6 +15,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +23,13 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.arrays import give_back, runs, squeeze, unsqueeze
+from contrail.llm.arrays import expand, give_back, runs, squeeze, unsqueeze
 from contrail.session import materialize
 
 BLOCK_BYTES = 16 << 20  # text of a block; one longer text is a block of its own
 BLOCK_DOCS = 1 << 16  # a document's place in its block has two bytes
 CHUNKS = 400_000  # remembered by a task (some 100 MB); when full it starts anew
+LINKS = 8 * CHUNKS  # of all chunks that a task has seen since; when there are more it starts anew
 LONG = 256  # characters of a chunk that is not remembered
 SHIFT = 16  # a pair is one number: B's id, then A's in the lower bits
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -63,32 +65,40 @@ class Tokenizers:
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             self.b_bytes.append(bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
-        self.shown = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.size_a, self.size_b = (np.array([len(x) for x in names], np.int64) for names in (self.a_bytes, self.b_bytes))
+        self.most = max(len(self.a_bytes), len(self.b_bytes))
+        self.shown = [f"{i}{mark}" for mark in ",|;" for i in range(self.most)]  # an id within its group, the last of A's, the last of B's
 
-    def align(self, chunks: list[str]) -> list[tuple[int, int, str, list[int]] | None]:
-        """Of each chunk: A's tokens, B's tokens, groups, pairs. None where the tokens' bytes are not a space and the chunk."""
-        coded_a = self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)
+    def align(self, chunks: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Of each chunk: A's tokens, B's tokens, pairs (a matrix); groups; and all pairs in order.
+
+        Tokens are -1 where their bytes are not a space and the chunk; such a chunk has no groups and no pairs.
+        """
+        coded_a = [x.ids for x in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
         coded_b = self.b.encode(chunks, num_threads=1)
-        bytes_a, bytes_b, shown, out = self.a_bytes, self.b_bytes, self.shown, []
-        for chunk, a, b in zip(chunks, coded_a, coded_b):
-            a = a.ids
+        get_a, get_b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        good = np.zeros(len(chunks), bool)
+        for k, (chunk, a, b) in enumerate(zip(chunks, coded_a, coded_b)):
             whole = b" " + chunk.encode()
-            if b"".join([bytes_a[i] for i in a]) != whole or b"".join([bytes_b[i] for i in b]) != whole:
-                out.append(None)
-                continue
-            groups, pairs, at, i, end_a, end_b = [], [], 0, 0, 0, 0
-            begin = 0
-            for j, y in enumerate(b):
-                end_b += len(bytes_b[y])
-                while end_a < end_b:
-                    end_a += len(bytes_a[a[i]])
-                    i += 1
-                if end_a == end_b:
-                    groups.append(",".join([shown[x] for x in a[begin:i]]) + "|" + ",".join([shown[x] for x in b[at : j + 1]]))
-                    pairs.append(y << SHIFT | a[i - 1])
-                    begin, at = i, j + 1
-            out.append((len(a), len(b), ";".join(groups), pairs))
-        return out
+            good[k] = b"".join(map(get_a, a)) == whole and b"".join(map(get_b, b)) == whole
+        n_a, n_b = (np.fromiter(map(len, coded), np.int64, len(chunks)) * good for coded in (coded_a, coded_b))
+        a, b = (np.fromiter(chain.from_iterable(compress(coded, good)), np.int64, n.sum()) for coded, n in ((coded_a, n_a), (coded_b, n_b)))
+        # the bytes of both are those of all good chunks, one after the other, so ends that meet are equal numbers
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        last_b = np.flatnonzero(np.isin(ends_b, ends_a))
+        last_a = np.searchsorted(ends_a, ends_b[last_b])
+        mark_a, mark_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        mark_a[last_a], mark_b[last_b] = 1, 2
+        of_a, of_b = (np.repeat(np.arange(len(last)), np.diff(last, prepend=-1)) for last in (last_a, last_b))
+        text = np.empty(len(a) + len(b), np.int64)  # group by group, A's ids before B's
+        text[np.arange(len(a)) + np.concatenate([[0], last_b[:-1] + 1])[of_a]] = a + self.most * mark_a
+        text[np.arange(len(b)) + (last_a + 1)[of_b]] = b + self.most * mark_b
+        text = list(map(self.shown.__getitem__, text.tolist()))
+        stop = np.cumsum(n_a + n_b)
+        groups = ["".join(text[i:j])[:-1] for i, j in zip((stop - n_a - n_b).tolist(), stop.tolist())]
+        linked = np.diff(np.searchsorted(last_b, np.cumsum(n_b)), prepend=0)
+        found = np.stack([np.where(good, n_a, -1), np.where(good, n_b, -1), linked], axis=1)
+        return found, groups, (b[last_b] << SHIFT | a[last_a]).astype(np.uint32)
 
 
 @lru_cache(maxsize=1)
@@ -105,38 +115,36 @@ class Aligner:
 
     def clear(self) -> None:
         self.place.clear()
-        self.sizes: list[tuple[int, int]] = []  # tokens of A and B; -1 where bytes differ
+        self.sizes = np.zeros((0, 3), np.int64)  # tokens of A and B, -1 where bytes differ; pairs
         self.groups: list[str] = []
-        self.pairs: list[list[int]] = []
+        self.pairs = np.zeros(0, np.uint32)
 
     def learn(self, chunks: list[str]) -> None:
-        for chunk, found in zip(chunks, self.tokenizers.align(chunks)):
-            self.place[chunk] = len(self.groups)
-            na, nb, groups, pairs = found or (-1, -1, "", [])
-            self.sizes.append((na, nb))
-            self.groups.append(groups)
-            self.pairs.append(pairs)
+        sizes, groups, pairs = self.tokenizers.align(chunks)
+        self.place.update(zip(chunks, range(len(self.groups), len(self.groups) + len(chunks))))
+        self.groups += groups
+        self.sizes, self.pairs = np.concatenate([self.sizes, sizes]), np.concatenate([self.pairs, pairs])
 
     def texts(self, texts: list[str]) -> Iterator[tuple[int, int, int, str, np.ndarray]]:
         """Of each text: A's tokens, B's tokens, groups, their digest, pairs. All empty where a text has no tokens."""
         cut = [CUT.split(t) if t else [] for t in texts]
-        if len(self.place) > CHUNKS:
+        if len(self.place) > CHUNKS or len(self.pairs) > LINKS:
             self.clear()
-        self.learn([c for c in dict.fromkeys(c for chunks in cut for c in chunks) if c not in self.place])
-        sizes = np.array(self.sizes, np.int64).reshape(-1, 2)
+        fresh = [c for c in dict.fromkeys(chain.from_iterable(cut)) if c not in self.place]
+        if fresh:
+            self.learn(fresh)
+        begin = np.cumsum(self.sizes[:, 2]) - self.sizes[:, 2]
         for chunks in cut:
             codes = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
-            if not len(codes) or sizes[codes, 0].min() < 0:
+            sizes = self.sizes[codes]
+            if not len(codes) or sizes[:, 0].min() < 0:
                 yield 0, 0, 0, "", np.zeros(0, np.uint32)
                 continue
-            na, nb = sizes[codes].sum(axis=0).tolist()
-            codes = codes.tolist()
-            digest = hashlib.sha256(";".join(map(self.groups.__getitem__, codes)).encode()).hexdigest()
-            pairs = np.fromiter((p for c in codes for p in self.pairs[c]), np.uint32)
-            yield na, nb, len(pairs), digest, pairs
-        for chunk in {c for chunks in cut for c in chunks if len(c) > LONG}:
-            i = self.place.pop(chunk)
-            self.groups[i], self.pairs[i] = "", []
+            na, nb, n = sizes.sum(axis=0).tolist()
+            digest = hashlib.sha256(";".join(map(self.groups.__getitem__, codes.tolist())).encode()).hexdigest()
+            yield na, nb, n, digest, self.pairs[expand(begin[codes], sizes[:, 2])[1]]
+        for chunk in {c for c in fresh if len(c) > LONG}:
+            self.groups[self.place.pop(chunk)] = ""
 
 
 class Postings:

@@ -76,6 +76,27 @@ def test_alignment_is_brute_force(spark, folder, texts, monkeypatch):
     assert got == ordered(brute_alignment(short))
 
 
+def test_chunks_are_aligned_together(monkeypatch):
+    """Chunks side by side, with some between them whose bytes differ, as each on its own; memory of links is bounded."""
+    t = alignment.Tokenizers(*alignment.default_tokenizers())
+    chunks = ["the", "a\u00a0b", "quickest", "x\u2581y", "caf\u00e9\n\nau", "\U0001f600!", "x" * 300, "12,345.60"]
+    sizes, groups, pairs = t.align(chunks)
+    assert (sizes[:, 0] == -1).any() and (sizes[:, 0] > 0).any() and sizes[:, 2].sum() == len(pairs)
+    at = 0
+    for chunk, size, group in zip(chunks, sizes, groups):
+        (alone,), (mine,), links = t.align([chunk])
+        assert size.tolist() == alone.tolist() and group == mine and pairs[at : at + size[2]].tolist() == links.tolist()
+        at += size[2]
+    texts = [f"word{i} and{i % 7} {'y' * 300}" for i in range(50)]
+    once = [(*x[:4], x[4].tolist()) for x in alignment.Aligner(t).texts(texts)]
+    monkeypatch.setattr(alignment, "LINKS", 20)
+    small, again = alignment.Aligner(t), []
+    for i in range(0, 50, 5):
+        again += [(*x[:4], x[4].tolist()) for x in small.texts(texts[i : i + 5])]
+        assert len(small.pairs) < 200 + 5 * len(once[0][4])
+    assert again == once
+
+
 def test_alignment_query(spark, folder, texts):
     got = queries.QUERIES["op11_cross_tokenizer_alignment"](spark, folder)
     assert got.columns[:7] == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"] and "groups_sha256" in got.columns
