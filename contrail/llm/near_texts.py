@@ -4,14 +4,16 @@ Every distinct text is stored once and gets a fingerprint, its shingles' parity
 share one of those. A shingle that only one text offers is dropped at once. Large groups are linked through one member of each
 shingle's texts, another one in each round, so a group of near copies never yields all its pairs. Only what is still apart is compared
 in pairs, inside tasks of bounded size, and a pair leaves its task only if lengths, places and parity bits (the shingles in which two texts
-differ change at least as many of them as they differ in) leave it possible. Of a text's pairs with one component, one is checked on the texts
-themselves; if all that are checked hold, the components are right, and only if some keep failing all pairs are checked.
+differ change at least as many of them as they differ in) leave it possible. Tasks get the bits of short texts folded to a quarter; the
+whole ones are looked at for the pairs that are left. A shingle with no more such pairs than rows hands over all of them and is done. Of
+any other, only one pair of a text with one component is checked on the texts themselves; if all that are checked hold, the components
+are right, and only if some keep failing all pairs are checked.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -34,6 +36,8 @@ SPANS = 3  # rounds after those, in which a text meets one of each other compone
 GROUP = 1_000  # texts of a shingle that a task compares with each other, or with as many others
 ROWS = 50_000  # texts and shingles for which there is a task
 PARITY = 11  # bits of a shingle's hash that say which of 2,048 parity bits it flips
+FOLD = 8  # numbers that the 32 of the parity bits are folded to
+SHORT = 800  # shingles of a text up to which folded bits tell texts apart that have little in common
 SMALL_IDS = 1_000_000  # ids up to which texts are picked by a broadcast: 8 MB
 CACHED = 300_000  # words whose hash a task remembers
 ODD = [int(x) | 1 for x in np.random.default_rng(5).integers(1 << 62, 1 << 63, WIDE + 1)]
@@ -208,25 +212,42 @@ def spanning(x: np.ndarray, y: np.ndarray, ids: np.ndarray, label: np.ndarray, s
     return order[first]
 
 
+def fold(bits: np.ndarray) -> np.ndarray:
+    """Rows of parity bits as if a shingle flipped one of a quarter as many."""
+    return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, FOLD), axis=1)
+
+
+def _folded(name: str = "parity") -> Column:
+    """``fold`` of a column of parity bits."""
+    return F.array(*[reduce(Column.bitwiseXOR, [F.col(name)[i] for i in range(k, (1 << PARITY) // 64, FOLD)]) for k in range(FOLD)])
+
+
 def _pairs_apart(open_: DataFrame, prints: DataFrame, turn: int | None) -> DataFrame:
     """Pairs (left, right) of one shingle and different components that may be alike, compared in tasks of bounded size.
 
-    A shingle with many texts has several parts; each task gets two of them. With ``turn``, only ``spanning`` ones leave their task.
+    A shingle with many texts has several parts; each task gets two of them. With ``turn``, a shingle with more pairs than rows gives
+    only ``spanning`` ones and is named itself in a row of its own (``again``), since it has more.
     """
-    schema = pa.schema([("left", pa.int64()), ("right", pa.int64())])
+    schema = pa.schema([("left", pa.int64()), ("right", pa.int64()), ("again", pa.int64())])
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.sort_by("shingle")
         column = lambda c: table.column(c).to_numpy()
         shingle, ids, n, place, label, part = (column(c) for c in ("shingle", "id", "n", "place", "label", "part"))
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        bits = table.column("parity").combine_chunks().flatten().to_numpy().reshape(len(ids), -1).view(np.uint64)
+        lists = table.column("parity").combine_chunks()
+        held, flat = lists.value_lengths().to_numpy(), lists.flatten().to_numpy().view(np.uint64)
+        long = held > FOLD
+        whole = flat[np.repeat(long, held)].reshape(int(long.sum()), -1)
+        at, short = np.cumsum(long) - 1, np.empty((len(ids), FOLD), np.uint64)
+        short[long], short[~long] = fold(whole) if len(whole) else whole.reshape(0, FOLD), flat[~np.repeat(long, held)].reshape(-1, FOLD)
         _, of, rows = np.unique(label, return_inverse=True, return_counts=True)
         rows = rows[of]
-        left, right = [], []
+        every, some, again = [], [], []
         for a, size in zip(*(x.tolist() for x in runs(np.concatenate([[True], shingle[1:] != shingle[:-1]])))):
             mine = np.arange(a, a + size)
             ours, theirs = (mine, mine) if low == high == 0 else (mine[part[mine] == low], mine[part[mine] == high])
+            found, n_found = [], 0
             for start in range(0, len(ours), 128):
                 x = ours[start : start + 128]
                 i, j = (k.ravel() for k in np.meshgrid(x, theirs, indexing="ij"))
@@ -236,25 +257,37 @@ def _pairs_apart(open_: DataFrame, prints: DataFrame, turn: int | None) -> DataF
                 i, j = i[keep], j[keep]
                 if not len(i):
                     continue
-                near = 9 * np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64) <= n[i] + n[j]
+                near = 9 * np.bitwise_count(short[i] ^ short[j]).sum(axis=1, dtype=np.int64) <= n[i] + n[j]
                 i, j = i[near], j[near]
-                if turn is not None and len(i) > 1000:
-                    some = spanning(i, j, ids, label, rows, turn)
-                    i, j = i[some], j[some]
-                left.append(i)
-                right.append(j)
-        i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-        if turn is not None:
-            some = spanning(i, j, ids, label, rows, turn)
-            i, j = i[some], j[some]
-        return pa.table([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])], schema=schema)
+                both = np.flatnonzero(long[i] & long[j])
+                differ = np.bitwise_count(whole[at[i[both]]] ^ whole[at[j[both]]]).sum(axis=1, dtype=np.int64)
+                far = both[9 * differ > n[i[both]] + n[j[both]]]
+                i, j = np.delete(i, far), np.delete(j, far)
+                n_found += len(i)
+                if turn is not None and n_found > size and len(i) > 1000:
+                    first = spanning(i, j, ids, label, rows, turn)
+                    i, j = i[first], j[first]
+                found.append((i, j))
+            if turn is not None and n_found > size:
+                again.append(shingle[a])
+                some += found
+            else:
+                every += found
+        together = lambda found: tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+        i, j = together(some)
+        first = spanning(i, j, ids, label, rows, turn or 0)
+        i, j = together([*every, (i[first], j[first])])
+        pairs = [pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j])), pa.nulls(len(i), pa.int64())]
+        named = [pa.nulls(len(again), pa.int64())] * 2 + [pa.array(again, pa.int64())]
+        return pa.concat_tables([pa.table(pairs, schema=schema), pa.table(named, schema=schema)])
 
     buckets = 1 + open_.count() // ROWS
     parts = F.ceil(F.col("texts") / GROUP).cast("int")
     rows = open_.withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     rows = rows.select("*", F.pmod("shingle", F.lit(buckets)).alias("bucket"), F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
-    rows = rows.join(prints.select("id", "parity"), "id")
-    return rows.groupBy("bucket", "low", "high").applyInArrow(compare, "left long, right long").distinct()
+    rows = rows.select("bucket", "low", "high", "shingle", "id", "n", "place", "label", "part")
+    bits = prints.select("id", F.when(F.col("n") > SHORT, F.col("parity")).otherwise(_folded()).alias("parity"))
+    return rows.join(bits, "id").groupBy("bucket", "low", "high").applyInArrow(compare, "left long, right long, again long").distinct()
 
 
 def text_links(texts: DataFrame, prints: DataFrame, hot: np.ndarray) -> DataFrame:
@@ -281,11 +314,15 @@ def text_links(texts: DataFrame, prints: DataFrame, hot: np.ndarray) -> DataFram
             pairs = materialize(_parity_leaves_open(pairs, prints), f"text-links-{turn}-possible")
         else:
             last = turn == ROUNDS + SPANS
-            pairs = materialize(_pairs_apart(open_, prints, None if last else turn), f"text-links-{turn}-possible")
+            seen = materialize(_pairs_apart(open_, prints, None if last else turn), f"text-links-{turn}-seen")
+            again, asked = seen.where("again is not null").select(F.col("again").alias("shingle")), seen.where("again is null").select("left", "right")
+            pairs = materialize(_parity_leaves_open(asked, prints), f"text-links-{turn}-possible")
         found = _text_pairs(texts, pairs, f"text-links-{turn}")
         links = links.unionByName(found)
-        if turn >= ROUNDS and found.count() == pairs.count():
-            return links
+        if turn >= ROUNDS:
+            if again.isEmpty() or found.count() == asked.count():
+                return links
+            open_ = open_.join(again, "shingle", "left_semi")  # the others have handed over all their pairs
         open_ = open_.select("shingle", "id", "n", "place")
     return links
 

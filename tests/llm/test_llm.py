@@ -268,6 +268,38 @@ def test_stock_sentences_stay_apart(spark, monkeypatch):
     assert counted[0] <= 200 * 31 and counted[-1] <= 400 * 31  # a fifth of a text's shingles at most
 
 
+def test_a_pair_that_is_not_alike_is_compared_once(spark, monkeypatch):
+    """Texts just below the threshold, which parity bits leave possible: their shingles are not gone through again and again."""
+    import random
+
+    rng, turns = random.Random(11), []
+    rows = []
+    for g in range(4):
+        words = [f"g{g}w{i}" for i in range(900)]
+        rows.append((len(rows), " ".join(words)))
+        for at in range(20, 880, 40):
+            words[at] = f"new{rng.randrange(10**6)}"
+        rows.append((len(rows), " ".join(words)))
+    label = plain_groups(rows)
+    assert len(set(label.values())) == len(rows)
+    real = near_texts._pairs_apart
+    monkeypatch.setattr(near_texts, "_pairs_apart", lambda rows, prints, turn: (turns.append(turn), real(rows, prints, turn))[1])
+    kept = near_texts.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(label)
+    assert len(turns) == 1
+
+
+def test_folded_parity_is_a_lower_bound(spark):
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(-(2**63), 2**63 - 1, 300)) for _ in range(2)]
+    sets[1] = np.unique(np.concatenate([sets[0][:250], sets[1][:40]]))
+    bits = np.stack([near_texts.parity(x) for x in sets]).view(np.uint64)
+    folded = near_texts.fold(bits)
+    assert 0 < np.bitwise_count(folded[0] ^ folded[1]).sum() <= np.bitwise_count(bits[0] ^ bits[1]).sum() <= len(np.setxor1d(*sets))
+    df = spark.createDataFrame([(x.tolist(),) for x in bits.view(np.int64)], "parity array<long>")
+    assert [r[0] for r in df.select(near_texts._folded()).collect()] == folded.view(np.int64).tolist()
+
+
 # 3 tokens
 
 
