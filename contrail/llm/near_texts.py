@@ -214,7 +214,7 @@ def spanning(x: np.ndarray, y: np.ndarray, ids: np.ndarray, label: np.ndarray, s
 
 def fold(bits: np.ndarray) -> np.ndarray:
     """Rows of parity bits as if a shingle flipped one of a quarter as many."""
-    return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, FOLD), axis=1)
+    return np.bitwise_xor.reduce(bits.reshape(len(bits), bits.shape[1] // FOLD, FOLD), axis=1)
 
 
 def _folded(name: str = "parity") -> Column:
@@ -238,9 +238,9 @@ def _pairs_apart(open_: DataFrame, prints: DataFrame, turn: int | None) -> DataF
         lists = table.column("parity").combine_chunks()
         held, flat = lists.value_lengths().to_numpy(), lists.flatten().to_numpy().view(np.uint64)
         long = held > FOLD
-        whole = flat[np.repeat(long, held)].reshape(int(long.sum()), -1)
+        whole = flat[np.repeat(long, held)].reshape(-1, (1 << PARITY) // 64)  # no rows if all texts are short
         at, short = np.cumsum(long) - 1, np.empty((len(ids), FOLD), np.uint64)
-        short[long], short[~long] = fold(whole) if len(whole) else whole.reshape(0, FOLD), flat[~np.repeat(long, held)].reshape(-1, FOLD)
+        short[long], short[~long] = fold(whole), flat[~np.repeat(long, held)].reshape(-1, FOLD)
         _, of, rows = np.unique(label, return_inverse=True, return_counts=True)
         rows = rows[of]
         every, some, again = [], [], []

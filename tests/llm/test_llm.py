@@ -289,6 +289,15 @@ def test_a_pair_that_is_not_alike_is_compared_once(spark, monkeypatch):
     assert len(turns) == 1
 
 
+def test_tasks_of_short_texts_alone(spark):
+    """No text of the task has whole parity bits, only folded ones."""
+    mixed = np.random.default_rng(6).integers(-(2**63), 2**63 - 1, 700)
+    sets = [np.unique(mixed[a : a + 300]) for a in (0, 10, 400)]
+    prints = spark.createDataFrame([(i, 300, near_texts.parity(x).tolist()) for i, x in enumerate(sets)], "id long, n int, parity array<long>")
+    open_ = spark.createDataFrame([(5, i, 300, 0, i, 3) for i in range(3)], "shingle long, id long, n int, place int, label long, texts long")
+    assert [tuple(r) for r in near_texts._pairs_apart(open_, prints, 2).collect()] == [(0, 1, None)]
+
+
 def test_folded_parity_is_a_lower_bound(spark):
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(-(2**63), 2**63 - 1, 300)) for _ in range(2)]
