@@ -5,7 +5,7 @@ share one of those. A shingle that only one text offers is dropped at once. Larg
 shingle's texts, another one in each round, so a group of near copies never yields all its pairs. Only what is still apart is compared
 in pairs, inside tasks of bounded size, and a pair leaves its task only if lengths, places and parity bits (the shingles in which two texts
 differ change at least as many of them as they differ in) leave it possible. Tasks get the bits of short texts folded to a quarter; the
-whole ones are looked at for the pairs that are left. A shingle with no more such pairs than rows hands over all of them and is done. Of
+whole ones, and finer ones of long texts, are looked at for the pairs that are left. A shingle with no more such pairs than rows hands over all of them and is done. Of
 any other, only one pair of a text with one component is checked on the texts themselves; if all that are checked hold, the components
 are right, and only if some keep failing all pairs are checked.
 """
@@ -88,6 +88,14 @@ def parity(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
+def fine_parity(hashes: np.ndarray) -> np.ndarray | None:
+    """At least one parity bit for each shingle of a text too long for ``parity``, by the last bits of the hash: half as many are their two halves' XOR."""
+    if len(hashes) <= 1 << PARITY:
+        return None
+    size = 1 << (len(hashes) - 1).bit_length()
+    return np.packbits((np.bincount(hashes & (size - 1), minlength=size) & 1).astype(np.uint8)).view("<i8")
+
+
 def rare_first(hashes: np.ndarray, late: np.ndarray) -> np.ndarray:
     """The shingles of which a text alike must hold one, in the order that all texts follow: ``late`` ones last."""
     n = len(hashes)
@@ -122,8 +130,9 @@ def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sign(texts: DataFrame, late: np.ndarray) -> DataFrame:
-    """Rows (id, name, fp, n, parity, rare), stored."""
-    fields = [("id", pa.int64()), ("name", pa.binary()), ("fp", pa.int64()), ("n", pa.int32()), ("parity", pa.list_(pa.int64())), ("rare", pa.list_(pa.int64()))]
+    """Rows (id, name, fp, n, parity, fine, rare), stored."""
+    bits = pa.list_(pa.int64())
+    fields = [("id", pa.int64()), ("name", pa.binary()), ("fp", pa.int64()), ("n", pa.int32()), ("parity", bits), ("fine", bits), ("rare", bits)]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -134,12 +143,13 @@ def sign(texts: DataFrame, late: np.ndarray) -> DataFrame:
                 hashes = [shingle_hashes(t, known) for t in body]
                 columns = [
                     part.column("id"), part.column("name").cast(pa.binary()), pa.array(map(fingerprint, body), pa.int64()), pa.array(map(len, hashes), pa.int32()),
-                    pa.array([parity(h) for h in hashes], pa.list_(pa.int64())), pa.array([rare_first(h, late) if len(h) else [] for h in hashes], pa.list_(pa.int64())),
+                    pa.array([parity(h) for h in hashes], bits), pa.array([fine_parity(h) for h in hashes], bits),
+                    pa.array([rare_first(h, late) if len(h) else [] for h in hashes], bits),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, [f for f, _ in fields])
         give_back()
 
-    return materialize(texts.mapInArrow(read, "id long, name binary, fp long, n int, parity array<long>, rare array<long>"), "text-prints")
+    return materialize(texts.mapInArrow(read, "id long, name binary, fp long, n int, parity array<long>, fine array<long>, rare array<long>"), "text-prints")
 
 
 def shared_shingles(prints: DataFrame, hot: np.ndarray) -> DataFrame:
@@ -167,8 +177,14 @@ def _possible(x: str, y: str) -> Column:
     return 9 * least("n", "place") >= 4 * (F.col(f"{x}.n") + F.col(f"{y}.n"))
 
 
+def _named_by(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows (id, ...) whose id is in stored pairs (left, right)."""
+    ids = pairs.select(F.explode(F.array("left", "right")).alias("id")).distinct()
+    return rows.join(F.broadcast(ids) if pairs.count() <= SMALL_IDS // 2 else ids, "id", "left_semi")
+
+
 def _text_pairs(texts: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
-    """Of stored pairs (left, right), those whose texts are alike, stored."""
+    """Of stored pairs (left, right), those whose texts are alike, stored; the copies of texts made for that are dropped."""
 
     @F.pandas_udf("boolean")
     def compare(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -178,27 +194,42 @@ def _text_pairs(texts: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
         kept.cache_clear()
         give_back()
 
-    ids = pairs.select(F.explode(F.array("left", "right")).alias("id")).distinct()
-    some = F.broadcast(ids) if pairs.count() <= SMALL_IDS // 2 else ids
-    used = materialize(texts.join(some, "id", "left_semi").select("id", "text"), f"{label}-texts")
-    both = pairs.join(used.select(F.col("id").alias("left"), F.col("text").alias("a")), "left")
-    both = both.join(used.select(F.col("id").alias("right"), F.col("text").alias("b")), "right")
-    return materialize(both.where(compare("a", "b")).select("left", "right"), label)
+    def held() -> DataFrame:
+        used = materialize(_named_by(pairs, texts).select("id", "text"), f"{label}-texts")
+        both = pairs.join(used.select(F.col("id").alias("left"), F.col("text").alias("a")), "left")
+        both = both.join(used.select(F.col("id").alias("right"), F.col("text").alias("b")), "right")
+        return both.where(compare("a", "b")).select("left", "right")
+
+    return stored_result(pairs.sparkSession, held, label)
+
+
+def _differ(x: Column, y: Column) -> Column:
+    """Number of bits in which two arrays of equal size differ."""
+    return F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, v: s + v)
 
 
 def _parity_leaves_open(pairs: DataFrame, prints: DataFrame) -> DataFrame:
-    """Of pairs (left, right), those whose parity bits differ in few enough places."""
-    one = lambda side: prints.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"p_{side}"))
-    both = pairs.join(one("left"), "left").join(one("right"), "right")
-    differ = F.aggregate(F.zip_with("p_left", "p_right", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, v: s + v)
-    return both.where(9 * differ <= F.col("n_left") + F.col("n_right")).select("left", "right")
+    """Of pairs (left, right), those whose parity bits, and finer ones if both texts are long, differ in few enough places."""
+    one = lambda side: prints.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "parity", "fine")])
+    both = pairs.join(one("left"), "left").join(one("right"), "right").withColumn("least", F.least(F.size("fine_left"), F.size("fine_right")))
+
+    def folded(side: str) -> Column:
+        """Fine bits folded in two if the other text has half as many."""
+        bits = F.col(f"fine_{side}")
+        halves = F.slice(bits, F.lit(1), F.col("least")), F.slice(bits, F.col("least") + 1, F.col("least"))
+        return F.when(F.size(bits) == 2 * F.col("least"), F.zip_with(*halves, lambda a, b: a.bitwiseXOR(b))).otherwise(bits)
+
+    near = 9 * _differ(F.col("parity_left"), F.col("parity_right")) <= F.col("n_left") + F.col("n_right")
+    comparable = F.col("fine_left").isNotNull() & F.col("fine_right").isNotNull() & (F.greatest(F.size("fine_left"), F.size("fine_right")) <= 2 * F.col("least"))
+    fine = F.when(comparable, 9 * _differ(folded("left"), folded("right")) <= F.col("n_left") + F.col("n_right")).otherwise(True)
+    return both.where(near & fine).select("left", "right")
 
 
-def _labelled(open_: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+def _labelled(open_: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of shingles whose texts are not all in one component yet, with the text's component."""
     rows = open_.join(labels.withColumnRenamed("node", "id"), "id", "left").select("shingle", "id", "n", "place", F.coalesce("component", "id").alias("label"))
     apart = rows.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("texts")).where("low < high")
-    return materialize(rows.join(apart.select("shingle", "texts"), "shingle"), label)
+    return rows.join(apart.select("shingle", "texts"), "shingle")
 
 
 def spanning(x: np.ndarray, y: np.ndarray, ids: np.ndarray, label: np.ndarray, size: np.ndarray, turn: int) -> np.ndarray:
@@ -302,7 +333,8 @@ def text_links(texts: DataFrame, prints: DataFrame, hot: np.ndarray) -> DataFram
     open_ = shared_shingles(prints, hot)
     one = F.struct("id", "n", "place", "label")
     for turn in range(ROUNDS + SPANS + 1):
-        open_ = _labelled(open_, components(links, f"texts-{turn}"), f"open-shingles-{turn}")
+        labelled = lambda rows=open_, links=links, turn=turn: _labelled(rows, components(links, f"texts-{turn}"))
+        open_ = stored_result(texts.sparkSession, labelled, f"open-shingles-{turn}")
         if open_.isEmpty():
             return links
         if turn < ROUNDS:
@@ -316,7 +348,7 @@ def text_links(texts: DataFrame, prints: DataFrame, hot: np.ndarray) -> DataFram
             last = turn == ROUNDS + SPANS
             seen = materialize(_pairs_apart(open_, prints, None if last else turn), f"text-links-{turn}-seen")
             again, asked = seen.where("again is not null").select(F.col("again").alias("shingle")), seen.where("again is null").select("left", "right")
-            pairs = materialize(_parity_leaves_open(asked, prints), f"text-links-{turn}-possible")
+            pairs = materialize(_parity_leaves_open(asked, _named_by(asked, prints)), f"text-links-{turn}-possible")
         found = _text_pairs(texts, pairs, f"text-links-{turn}")
         links = links.unionByName(found)
         if turn >= ROUNDS:

@@ -298,6 +298,19 @@ def test_tasks_of_short_texts_alone(spark):
     assert [tuple(r) for r in near_texts._pairs_apart(open_, prints, 2).collect()] == [(0, 1, None)]
 
 
+def test_long_texts_that_share_half_are_told_apart_by_their_bits(spark):
+    """2,048 bits leave any two texts of over 4,600 words possible; a text that two others hold whole stays possible, whatever its size."""
+    words = [f"w{i}" for i in range(18000)]
+    body = [words[:8400], words[:8000], words[4200:12500], words[:2049], words[:2000], words[:17000], words[8000:]]
+    texts = spark.createDataFrame([(i, bytes([i]), " ".join(t)) for i, t in enumerate(body)], "id long, name binary, text string")
+    prints = near_texts.sign(texts, np.zeros(0, np.int64))
+    assert [r.fine and 64 * len(r.fine) for r in prints.orderBy("id").collect()] == [16384, 8192, 16384, None, None, 32768, 16384]
+    sets = [near_texts.shingle_set(" ".join(t)) for t in body]
+    every = [(a, b) for a in range(len(body)) for b in range(a + 1, len(body)) if 9 * len(sets[a]) >= 4 * (len(sets[a]) + len(sets[b])) <= 9 * len(sets[b])]
+    left = near_texts._parity_leaves_open(spark.createDataFrame(every, "left long, right long"), prints).collect()
+    assert {(0, 2), (1, 2)} < set(every) and sorted(map(tuple, left)) == [p for p in every if near_texts.alike(sets[p[0]], sets[p[1]])] == [(0, 1), (3, 4)]
+
+
 def test_folded_parity_is_a_lower_bound(spark):
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(-(2**63), 2**63 - 1, 300)) for _ in range(2)]
