@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from contrail.llm.arrays import give_back, runs
 from contrail.llm.simhash import components, fingerprint, near_fingerprints
-from contrail.session import materialize, stored_result
+from contrail.session import materialize, shuffles_freed, stored_result
 
 WIDE = 5  # words of a shingle
 SAMPLE = 4_000  # texts in which frequent shingles are looked for
@@ -379,7 +379,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     the group's smallest key stays; of rows that repeat that key, one does. Rows whose key is null stay all, since they cannot be
     told apart. Null and empty texts are alike. An empty table gives an empty table.
     """
-    kept = stored_result(
-        docs.sparkSession, lambda: near_groups(docs, key, text).select(F.col("component_id").alias(key)).where(F.col(key).isNotNull()).distinct(), "kept-keys")
+    with shuffles_freed(docs.sparkSession):
+        kept = stored_result(
+            docs.sparkSession, lambda: near_groups(docs, key, text).select(F.col("component_id").alias(key)).where(F.col(key).isNotNull()).distinct(), "kept-keys")
     named = docs.where(F.col(key).isNotNull()).join(kept, key, "left_semi").select(*docs.columns)
     return named.dropDuplicates([key]).unionByName(docs.where(F.col(key).isNull()))

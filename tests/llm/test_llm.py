@@ -311,6 +311,28 @@ def test_long_texts_that_share_half_are_told_apart_by_their_bits(spark):
     assert {(0, 2), (1, 2)} < set(every) and sorted(map(tuple, left)) == [p for p in every if near_texts.alike(sets[p[0]], sets[p[1]])] == [(0, 1), (3, 4)]
 
 
+def test_shuffles_are_freed_while_near_texts_are_found(spark, tmp_path):
+    """A table's shuffle files are gone soon after it is stored, without the driver's garbage collection; later queries are as before."""
+    import time
+
+    from contrail.session import shuffles_freed
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {str(disk.getAllBlocks().apply(i)) for i in range(disk.getAllBlocks().size())}
+    was, before = spark.conf.get(name), shuffled()
+    with shuffles_freed(spark):
+        spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "t"))
+        until = time.time() + 10
+        while (left := {x for x in shuffled() - before if x.startswith("shuffle_")}) and time.time() < until:
+            time.sleep(0.1)
+        assert not left
+    assert spark.conf.get(name) == was
+    with pytest.raises(ZeroDivisionError), shuffles_freed(spark):
+        1 / 0
+    assert spark.conf.get(name) == was
+
+
 def test_folded_parity_is_a_lower_bound(spark):
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(-(2**63), 2**63 - 1, 300)) for _ in range(2)]
